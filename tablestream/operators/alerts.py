@@ -77,8 +77,11 @@ def _first_of(pairs: list[tuple[Column, Column]], default: Column) -> Column:
 
 
 def any_violation(limits: Limits = LIMITS) -> Column:
-    tests = [F.coalesce(r.violated, F.lit(False)) for r in _rules(limits, SERVICE_LEVELS)]
-    return tests[0] | tests[1] | tests[2] | tests[3]
+    """True where some rule is violated; NULL metrics violate none."""
+    first, *others = [r.violated for r in _rules(limits, SERVICE_LEVELS)]
+    for test in others:
+        first = first | test
+    return first
 
 
 def classify(

@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablestream.session import cut_lineage
+
 _MAX_SLICES = 36_000
 
 
@@ -66,7 +68,8 @@ def _walking(keys: list[str]):
 
 def _emitting(period: int, width: int, slices: int, keys: list[str]):
     def run(group: pd.DataFrame, entered: pd.DataFrame) -> pd.DataFrame:
-        times = np.sort(group["_us"].to_numpy())
+        group = group.sort_values("_us")
+        times = group["_us"].to_numpy()
         cells, successor, _ = _follow(times, period, width, slices)
         sent = np.zeros(len(times), dtype=bool)
         for at in np.searchsorted(cells, entered["_cell"].to_numpy(), side="left").tolist():
@@ -75,8 +78,7 @@ def _emitting(period: int, width: int, slices: int, keys: list[str]):
                 if successor[at] == at:
                     break
                 at = successor[at]
-        out = {k: [group[k].iloc[0]] * int(sent.sum()) for k in keys}
-        return pd.DataFrame({**out, "_us": times[sent]})
+        return group.loc[sent, [*keys, "_us", "_tie"]]
 
     return run
 
@@ -113,28 +115,27 @@ def cooldown(
             .filter(F.col("_since").isNull() | (F.col("_us") >= F.col("_since") + period))
             .drop("_since")
         )
-    times = rows.groupBy(*keys, "_us").agg(F.min(tie).alias("_tie"))
+    # Far narrower than the rows, and used several times.
+    times = cut_lineage(rows.groupBy(*keys, "_us").agg(F.min(tie).alias("_tie")))
     if slices is None:
         slices = _slices_for(times, keys, slice_rows)
     width = -(-period // slices)
     offset = F.pmod(F.col("_us"), F.lit(period))
-    sliced = times.withColumn("_part", F.floor(offset / width).cast("int"))
+    part = F.floor(offset / width).cast("int").alias("_part")
+    sliced = times.select(*keys, part, "_us", "_tie")
 
-    key_types = {k: df.schema[k].dataType.simpleString() for k in keys}
-    key_ddl = ", ".join(f"`{k}` {kind}" for k, kind in key_types.items())
+    ddl = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    tie_type = df.schema[tie].dataType.simpleString()
     args = (period, width, slices, keys)
-    leaving = (
-        sliced.select(*keys, "_part", "_us")
-        .groupBy(*keys, "_part")
-        .applyInPandas(_leaving(*args), f"{key_ddl}, _cell long, _leave long")
+    leaving = sliced.groupBy(*keys, "_part").applyInPandas(
+        _leaving(*args), f"{ddl}, _cell long, _leave long"
     )
-    entered = leaving.groupBy(*keys).applyInPandas(_walking(keys), f"{key_ddl}, _cell long")
+    entered = leaving.groupBy(*keys).applyInPandas(_walking(keys), f"{ddl}, _cell long")
     entered = entered.withColumn("_part", F.pmod("_cell", F.lit(slices)).cast("int"))
     sent = (
-        sliced.select(*keys, "_part", "_us")
-        .groupBy(*keys, "_part")
+        sliced.groupBy(*keys, "_part")
         .cogroup(entered.groupBy(*keys, "_part"))
-        .applyInPandas(_emitting(*args), f"{key_ddl}, _us long")
+        .applyInPandas(_emitting(*args), f"{ddl}, _us long, _tie {tie_type}")
+        .withColumnRenamed("_tie", tie)
     )
-    first = sent.join(times, [*keys, "_us"]).withColumnRenamed("_tie", tie)
-    return rows.join(first, [*keys, "_us", tie], "left_semi").drop("_us")
+    return rows.join(sent, [*keys, "_us", tie], "left_semi").drop("_us")

@@ -160,8 +160,12 @@ def _table_severity(
 
 
 def _note(spark: SparkSession, name: str, note: str, severity: int) -> DataFrame:
-    row = [(name, None, severity, note)]
-    return spark.createDataFrame(row, "table string, missing long, _severity int, _note string")
+    return spark.range(1).select(
+        F.lit(name).alias("table"),
+        F.lit(None).cast("long").alias("missing"),
+        F.lit(severity).alias("_severity"),
+        F.lit(note).alias("_note"),
+    )
 
 
 def quality_report(

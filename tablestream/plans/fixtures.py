@@ -21,7 +21,8 @@ def table(spark: SparkSession, data: str, name: str) -> DataFrame:
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({name: F.round(name, 6) for name in names})
+    """Six digits. Rounding to nine first lifts a tie out of the noise of the summation order."""
+    return df.withColumns({name: F.round(F.round(name, 9), 6) for name in names})
 
 
 def text(df: DataFrame, *names: str) -> DataFrame:

@@ -74,7 +74,7 @@ gaps AS (
 @query(f"WITH {GAPS}" + " UNION ALL ".join(
     f"""
 SELECT '{f}' AS field, count(*) AS total, count(*) - count({f}) AS null_count,
-       count({f}) AS non_null, round(100.0 * (count(*) - count({f})) / count(*), 6)
+       count({f}) AS non_null, round(round(100.0 * (count(*) - count({f})) / count(*), 9), 6)
          AS null_percentage
 FROM gaps
 """ for f in FIELDS))
@@ -86,10 +86,10 @@ def null_profile(spark: SparkSession, data: str) -> DataFrame:
     f"""
 SELECT '{f}' AS field, count({f}) AS total,
        count(*) FILTER (WHERE {f} < {low} OR {f} > {high}) AS out_of_range,
-       round(100.0 * count(*) FILTER (WHERE {f} < {low} OR {f} > {high}) / count({f}), 6)
+       round(round(100.0 * count(*) FILTER (WHERE {f} < {low} OR {f} > {high}) / count({f}), 9), 6)
          AS out_of_range_percentage,
-       min({f}) AS min_value, max({f}) AS max_value, round(avg({f}), 6) AS avg_value,
-       round(stddev_samp({f}), 6) AS std_dev
+       min({f}) AS min_value, max({f}) AS max_value, round(round(avg({f}), 9), 6) AS avg_value,
+       round(round(stddev_samp({f}), 9), 6) AS std_dev
 FROM gaps
 """ for f, (low, high) in quality.RANGES.items() if f in FIELDS))
 def range_profile(spark: SparkSession, data: str) -> DataFrame:

@@ -29,7 +29,7 @@ START, END = "1996-01-01", "1999-12-31"
 
 
 @query("""
-SELECT c_mktsegment AS department, round(avg(c_acctbal), 6) AS avg_salary
+SELECT c_mktsegment AS department, round(round(avg(c_acctbal), 9), 6) AS avg_salary
 FROM customer WHERE c_acctbal > 25 GROUP BY 1
 """)
 def filter_group_avg(spark: SparkSession, data: str) -> DataFrame:
@@ -69,7 +69,7 @@ def top_products_per_region(spark: SparkSession, data: str) -> DataFrame:
 @query("""
 SELECT c_custkey AS customer_id, c_name AS customer_name, count(o_orderkey) AS total_orders,
        CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total_spent,
-       round(avg(CAST(round(o_totalprice * 100) AS BIGINT)), 6) AS avg_order_value
+       round(round(avg(CAST(round(o_totalprice * 100) AS BIGINT)), 9), 6) AS avg_order_value
 FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY 1, 2
 """)
 def customer_order_stats(spark: SparkSession, data: str) -> DataFrame:
@@ -217,10 +217,10 @@ common AS (
   QUALIFY row_number() OVER (PARTITION BY city_name, d ORDER BY count(*) DESC, c) = 1)
 SELECT city_name, strftime(d + INTERVAL 365 DAY, '%Y-%m-%d') AS forecast_date,
        min(t) AS temperature_min, max(t) AS temperature_max,
-       round(avg(t), 4) AS temperature_avg, round(avg(h), 6) AS humidity,
+       round(avg(t), 4) AS temperature_avg, round(round(avg(h), 9), 6) AS humidity,
        any_value(common.c) AS weather_condition,
-       round(100.0 * count(*) FILTER (WHERE lower(history.c) LIKE '%rain%'
-             OR lower(history.c) LIKE '%shower%') / count(*), 6) AS precipitation_probability
+       round(round(100.0 * count(*) FILTER (WHERE lower(history.c) LIKE '%rain%'
+             OR lower(history.c) LIKE '%shower%') / count(*), 9), 6) AS precipitation_probability
 FROM history JOIN common USING (city_name, d) GROUP BY city_name, d
 """)
 def seasonal_forecast(spark: SparkSession, data: str) -> DataFrame:

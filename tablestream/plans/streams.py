@@ -33,9 +33,9 @@ def _finished(spark: SparkSession, name: str, start: Callable[[str, str], object
 MEANS = ["avg_temperature", "avg_humidity", "avg_pressure"]
 WINDOW = """city_name, date_trunc('hour', t) AS window_start,
        date_trunc('hour', t) + INTERVAL 1 HOUR AS window_end"""
-SIX = """round(avg(temperature), 6) AS avg_temperature, max(temperature) AS max_temperature,
-       min(temperature) AS min_temperature, round(avg(humidity), 6) AS avg_humidity,
-       round(avg(pressure), 6) AS avg_pressure"""
+SIX = """round(round(avg(temperature), 9), 6) AS avg_temperature, max(temperature) AS max_temperature,
+       min(temperature) AS min_temperature, round(round(avg(humidity), 9), 6) AS avg_humidity,
+       round(round(avg(pressure), 9), 6) AS avg_pressure"""
 
 
 def _windows_out(df: DataFrame, *more: str) -> DataFrame:
@@ -44,7 +44,7 @@ def _windows_out(df: DataFrame, *more: str) -> DataFrame:
 
 @query(f"""
 WITH {READINGS}, timed AS (SELECT *, measurement_time AS t FROM readings)
-SELECT {WINDOW}, {SIX}, round(avg(wind_speed), 6) AS avg_wind_speed
+SELECT {WINDOW}, {SIX}, round(round(avg(wind_speed), 9), 6) AS avg_wind_speed
 FROM timed GROUP BY 1, 2, 3
 HAVING window_end <= (SELECT max(t) - INTERVAL 10 MINUTE FROM timed)
 """)
@@ -61,7 +61,7 @@ def stream_tumbling_hour(spark: SparkSession, data: str) -> DataFrame:
 
 @query(f"""
 WITH {READINGS}, timed AS (SELECT *, measurement_time AS t FROM readings)
-SELECT {WINDOW}, {SIX}, round(avg(wind_speed), 6) AS avg_wind_speed
+SELECT {WINDOW}, {SIX}, round(round(avg(wind_speed), 9), 6) AS avg_wind_speed
 FROM timed GROUP BY 1, 2, 3
 """)
 def stream_hour_updates(spark: SparkSession, data: str) -> DataFrame:
@@ -196,7 +196,7 @@ mark AS (SELECT max(t) - INTERVAL 10 MINUTE AS w FROM arrived WHERE NOT late),
 kept AS (
   SELECT * FROM arrived
   WHERE NOT late OR date_trunc('hour', t) + INTERVAL 1 HOUR > (SELECT w FROM mark))
-SELECT {WINDOW}, {SIX}, round(avg(wind_speed), 6) AS avg_wind_speed
+SELECT {WINDOW}, {SIX}, round(round(avg(wind_speed), 9), 6) AS avg_wind_speed
 FROM kept GROUP BY 1, 2, 3
 HAVING window_end <= (SELECT max(t) - INTERVAL 10 MINUTE FROM arrived)
 """)

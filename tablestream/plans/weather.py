@@ -45,7 +45,7 @@ raw AS (
 WITH {RAW_SQL}
 SELECT event_type AS city_name, upper(event_type) AS city_original_name,
        CAST(user_id AS DOUBLE) AS longitude, user_id / 2 AS latitude, value AS temperature,
-       round(value - 1.5, 6) AS feels_like, k AS humidity, 990 + k / 2 AS pressure,
+       round(round(value - 1.5, 9), 6) AS feels_like, k AS humidity, 990 + k / 2 AS pressure,
        CAST(user_id % 25 AS DOUBLE) AS wind_speed, CAST(user_id AS DOUBLE) AS wind_direction,
        k AS cloudiness,
        CASE user_id % 3 WHEN 1 THEN 'Clouds' WHEN 2 THEN 'Rain' END AS weather_condition,
@@ -126,7 +126,7 @@ SELECT 'streaming', city_name, strftime(measurement_time, '%Y-%m-%d'),
        city_name FROM readings
 UNION ALL
 SELECT 'hourly', city_name, strftime(window_start, '%Y-%m-%d'), window_start,
-       round(avg_temperature, 6), round(avg_humidity, 6), round(avg_pressure, 6), NULL, NULL
+       round(round(avg_temperature, 9), 6), round(round(avg_humidity, 9), 6), round(round(avg_pressure, 9), 6), NULL, NULL
 FROM hourly
 """)
 def unify_layouts(spark: SparkSession, data: str) -> DataFrame:
@@ -182,9 +182,9 @@ def newest_readings(spark: SparkSession, data: str) -> DataFrame:
 @query(f"""
 WITH {READINGS}
 SELECT city_name, strftime(measurement_time, '%Y-%m-%d') AS date,
-       round(avg(temperature), 6) AS avg_temp, max(temperature) AS max_temp,
-       min(temperature) AS min_temp, round(avg(humidity), 6) AS avg_humidity,
-       round(avg(pressure), 6) AS avg_pressure, round(avg(wind_speed), 6) AS avg_wind_speed,
+       round(round(avg(temperature), 9), 6) AS avg_temp, max(temperature) AS max_temp,
+       min(temperature) AS min_temp, round(round(avg(humidity), 9), 6) AS avg_humidity,
+       round(round(avg(pressure), 9), 6) AS avg_pressure, round(round(avg(wind_speed), 9), 6) AS avg_wind_speed,
        count(*) AS measurement_count
 FROM readings WHERE measurement_time >= DATE '2024-01-01' GROUP BY 1, 2
 """)
@@ -213,8 +213,8 @@ def _daily_stats(spark: SparkSession, data: str) -> DataFrame:
 
 @query(f"""
 WITH {LONG_STATS}
-SELECT city_name, strftime(d, '%Y-%m-%d') AS date, metric_type, round(avg_value, 6) AS avg_value,
-       min_value, max_value, round(std_dev, 6) AS std_dev,
+SELECT city_name, strftime(d, '%Y-%m-%d') AS date, metric_type, round(round(avg_value, 9), 6) AS avg_value,
+       min_value, max_value, round(round(std_dev, 9), 6) AS std_dev,
        CASE metric_type WHEN 'temperature' THEN '°C' WHEN 'humidity' THEN '%'
             WHEN 'pressure' THEN 'hPa' ELSE 'm/s' END AS unit
 FROM daily
@@ -227,17 +227,17 @@ def metric_stats(spark: SparkSession, data: str) -> DataFrame:
 @query(f"""
 WITH {HOURLY}
 SELECT city_name, strftime(window_start, '%Y-%m-%d') AS date, 'temperature' AS metric_type,
-       round(avg(avg_temperature), 6) AS avg_value, round(min(min_temperature), 6) AS min_value,
-       round(max(max_temperature), 6) AS max_value,
-       round(stddev_samp(avg_temperature), 6) AS std_dev FROM hourly GROUP BY 1, 2
+       round(round(avg(avg_temperature), 9), 6) AS avg_value, round(round(min(min_temperature), 9), 6) AS min_value,
+       round(round(max(max_temperature), 9), 6) AS max_value,
+       round(round(stddev_samp(avg_temperature), 9), 6) AS std_dev FROM hourly GROUP BY 1, 2
 UNION ALL
-SELECT city_name, strftime(window_start, '%Y-%m-%d'), 'humidity', round(avg(avg_humidity), 6),
-       round(min(avg_humidity), 6), round(max(avg_humidity), 6),
-       round(stddev_samp(avg_humidity), 6) FROM hourly GROUP BY 1, 2
+SELECT city_name, strftime(window_start, '%Y-%m-%d'), 'humidity', round(round(avg(avg_humidity), 9), 6),
+       round(round(min(avg_humidity), 9), 6), round(round(max(avg_humidity), 9), 6),
+       round(round(stddev_samp(avg_humidity), 9), 6) FROM hourly GROUP BY 1, 2
 UNION ALL
-SELECT city_name, strftime(window_start, '%Y-%m-%d'), 'pressure', round(avg(avg_pressure), 6),
-       round(min(avg_pressure), 6), round(max(avg_pressure), 6),
-       round(stddev_samp(avg_pressure), 6) FROM hourly GROUP BY 1, 2
+SELECT city_name, strftime(window_start, '%Y-%m-%d'), 'pressure', round(round(avg(avg_pressure), 9), 6),
+       round(round(min(avg_pressure), 9), 6), round(round(max(avg_pressure), 9), 6),
+       round(round(stddev_samp(avg_pressure), 9), 6) FROM hourly GROUP BY 1, 2
 """)
 def hourly_stats_of_stats(spark: SparkSession, data: str) -> DataFrame:
     stats = aggregates.hourly_metric_stats(hourly(spark, data))
@@ -247,8 +247,8 @@ def hourly_stats_of_stats(spark: SparkSession, data: str) -> DataFrame:
 @query(f"""
 WITH {READINGS}
 SELECT city_name, strftime(measurement_time, '%Y-%m-%d') AS date, 'humidity' AS metric,
-       round(avg(humidity), 6) AS avg_value, min(humidity) AS min_value,
-       max(humidity) AS max_value, round(stddev_samp(humidity), 6) AS std_dev
+       round(round(avg(humidity), 9), 6) AS avg_value, min(humidity) AS min_value,
+       max(humidity) AS max_value, round(round(stddev_samp(humidity), 9), 6) AS std_dev
 FROM readings
 WHERE measurement_time >= DATE '2024-01-05' AND measurement_time < DATE '2024-01-26'
 GROUP BY 1, 2
@@ -262,9 +262,9 @@ def stats_one_metric(spark: SparkSession, data: str) -> DataFrame:
 
 @query(f"""
 WITH {READINGS}
-SELECT city_name, round(avg(temperature), 6) AS avg_temperature,
-       round(avg(humidity), 6) AS avg_humidity, round(avg(pressure), 6) AS avg_pressure,
-       round(avg(wind_speed), 6) AS avg_wind_speed
+SELECT city_name, round(round(avg(temperature), 9), 6) AS avg_temperature,
+       round(round(avg(humidity), 9), 6) AS avg_humidity, round(round(avg(pressure), 9), 6) AS avg_pressure,
+       round(round(avg(wind_speed), 9), 6) AS avg_wind_speed
 FROM readings WHERE measurement_time >= DATE '2024-01-24' GROUP BY 1
 """)
 def key_comparison_wide(spark: SparkSession, data: str) -> DataFrame:
@@ -278,10 +278,10 @@ recent AS (
   SELECT city_name, metric_type, avg(avg_value) AS v FROM daily
   WHERE d >= DATE '2024-01-24' GROUP BY 1, 2)
 SELECT city_name,
-       round(max(CASE WHEN metric_type = 'temperature' THEN v END), 6) AS avg_temperature,
-       round(max(CASE WHEN metric_type = 'humidity' THEN v END), 6) AS avg_humidity,
-       round(max(CASE WHEN metric_type = 'pressure' THEN v END), 6) AS avg_pressure,
-       round(max(CASE WHEN metric_type = 'wind_speed' THEN v END), 6) AS avg_wind_speed
+       round(round(max(CASE WHEN metric_type = 'temperature' THEN v END), 9), 6) AS avg_temperature,
+       round(round(max(CASE WHEN metric_type = 'humidity' THEN v END), 9), 6) AS avg_humidity,
+       round(round(max(CASE WHEN metric_type = 'pressure' THEN v END), 9), 6) AS avg_pressure,
+       round(round(max(CASE WHEN metric_type = 'wind_speed' THEN v END), 9), 6) AS avg_wind_speed
 FROM recent GROUP BY 1
 """)
 def key_comparison_pivot(spark: SparkSession, data: str) -> DataFrame:
@@ -299,7 +299,7 @@ slopes AS (
   SELECT city_name, regr_slope(v, date_diff('day', DATE '2024-01-01', d)) AS s
   FROM daily GROUP BY 1),
 trends AS (
-  SELECT city_name, round(s, 6) AS change_rate,
+  SELECT city_name, round(round(s, 9), 6) AS change_rate,
          CASE WHEN s > 0.1 THEN 'increasing' WHEN s < -0.1 THEN 'decreasing' ELSE 'stable' END
            AS trend_direction
   FROM slopes)
@@ -309,7 +309,7 @@ trends AS (
 @query(f"""
 WITH {TREND}
 SELECT city_name, trend_direction, change_rate, strftime(d, '%Y-%m-%d') AS date,
-       round(v, 6) AS value
+       round(round(v, 9), 6) AS value
 FROM daily JOIN trends USING (city_name)
 """)
 def trend_slope(spark: SparkSession, data: str) -> DataFrame:
@@ -323,7 +323,7 @@ def trend_slope(spark: SparkSession, data: str) -> DataFrame:
 WITH {TREND}
 SELECT city_name, 'temperature' AS metric, trend_direction, change_rate,
        CAST(row_number() OVER (PARTITION BY city_name ORDER BY d) - 1 AS INTEGER) AS position,
-       strftime(d, '%Y-%m-%d') AS date, round(v, 6) AS value
+       strftime(d, '%Y-%m-%d') AS date, round(round(v, 9), 6) AS value
 FROM daily JOIN trends USING (city_name)
 """)
 def trend_points(spark: SparkSession, data: str) -> DataFrame:
@@ -338,9 +338,9 @@ def trend_points(spark: SparkSession, data: str) -> DataFrame:
 
 @query(f"""
 WITH {LONG_STATS}
-SELECT city_name, strftime(d, '%Y-%m-%d') AS date, metric_type, round(avg_value, 6) AS avg_value,
-       round(avg(avg_value) OVER (PARTITION BY city_name, metric_type ORDER BY d
-             ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS moving_avg_7day
+SELECT city_name, strftime(d, '%Y-%m-%d') AS date, metric_type, round(round(avg_value, 9), 6) AS avg_value,
+       round(round(avg(avg_value) OVER (PARTITION BY city_name, metric_type ORDER BY d
+             ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 9), 6) AS moving_avg_7day
 FROM daily
 """)
 def moving_average_7(spark: SparkSession, data: str) -> DataFrame:
@@ -362,8 +362,8 @@ both_weeks AS (
          avg(v) OVER (PARTITION BY city_name ORDER BY d
                       ROWS BETWEEN 13 PRECEDING AND 7 PRECEDING) AS b
   FROM daily)
-SELECT city_name, strftime(d, '%Y-%m-%d') AS date, round(v, 6) AS value,
-       round(a, 6) AS moving_avg, round(b, 6) AS previous_avg,
+SELECT city_name, strftime(d, '%Y-%m-%d') AS date, round(round(v, 9), 6) AS value,
+       round(round(a, 9), 6) AS moving_avg, round(round(b, 9), 6) AS previous_avg,
        CASE WHEN a > b THEN 'increasing' WHEN a < b THEN 'decreasing' ELSE 'stable' END AS trend
 FROM both_weeks
 """)
@@ -404,7 +404,7 @@ def missing_grid(spark: SparkSession, data: str) -> DataFrame:
 WITH c AS (
   SELECT event_type, CASE WHEN event_id % 11 <> 0 THEN 'C' || (user_id % 7) ELSE 'unknown' END
            AS country, CAST(round(value * 100) AS INTEGER) AS duration FROM events)
-SELECT event_type, country, count(*) AS clicks, round(avg(duration), 6) AS avg_duration
+SELECT event_type, country, count(*) AS clicks, round(round(avg(duration), 9), 6) AS avg_duration
 FROM c GROUP BY 1, 2
 """)
 def click_rollup(spark: SparkSession, data: str) -> DataFrame:
@@ -441,7 +441,7 @@ def version_distribution(spark: SparkSession, data: str) -> DataFrame:
 @query(f"""
 WITH {LONG_STATS}
 SELECT strftime(d, '%Y-%m-%d') AS date,
-       {", ".join(f"round(avg(avg_value) FILTER (WHERE city_name = '{c}'), 6) AS {c}"
+       {", ".join(f"round(round(avg(avg_value) FILTER (WHERE city_name = '{c}'), 9), 6) AS {c}"
                   for c in CITIES)}
 FROM daily WHERE metric_type = 'temperature' GROUP BY 1
 """)
@@ -452,17 +452,17 @@ def dashboard_matrix(spark: SparkSession, data: str) -> DataFrame:
 
 @query(f"""
 WITH {LONG_STATS}
-SELECT city_name, metric_type, round(avg(avg_value), 6) AS avg_value, min(min_value) AS min_value,
-       max(max_value) AS max_value, round(avg(std_dev), 6) AS std_dev
+SELECT city_name, metric_type, round(round(avg(avg_value), 9), 6) AS avg_value, min(min_value) AS min_value,
+       max(max_value) AS max_value, round(round(avg(std_dev), 9), 6) AS std_dev
 FROM daily GROUP BY 1, 2
 """)
 def dashboard_profile(spark: SparkSession, data: str) -> DataFrame:
     return rounded(aggregates.metric_profile(_daily_stats(spark, data)), "avg_value", "std_dev")
 
 
-HOURLY_OUT = """city_name, window_start, window_end, round(avg_temperature, 6) AS avg_temperature,
-       max_temperature, min_temperature, round(avg_humidity, 6) AS avg_humidity,
-       round(avg_pressure, 6) AS avg_pressure"""
+HOURLY_OUT = """city_name, window_start, window_end, round(round(avg_temperature, 9), 6) AS avg_temperature,
+       max_temperature, min_temperature, round(round(avg_humidity, 9), 6) AS avg_humidity,
+       round(round(avg_pressure, 9), 6) AS avg_pressure"""
 
 
 def _hourly_out(df: DataFrame) -> DataFrame:
@@ -488,7 +488,7 @@ def realtime_windows(spark: SparkSession, data: str) -> DataFrame:
 
 @query(f"""
 WITH {READINGS}
-SELECT city_name, round(avg(temperature), 6) AS avg_temp, count(*) AS measurement_count
+SELECT city_name, round(round(avg(temperature), 9), 6) AS avg_temp, count(*) AS measurement_count
 FROM readings WHERE CAST(measurement_time AS DATE) = DATE '2024-01-30' GROUP BY 1
 """)
 def yesterday_comparison(spark: SparkSession, data: str) -> DataFrame:
@@ -515,7 +515,7 @@ def recent_events(spark: SparkSession, data: str) -> DataFrame:
 
 @query("""
 SELECT event_id, ts, value AS latency,
-       round(avg(value) OVER (ORDER BY ts, event_id ROWS BETWEEN 59 PRECEDING AND CURRENT ROW), 6)
+       round(round(avg(value) OVER (ORDER BY ts, event_id ROWS BETWEEN 59 PRECEDING AND CURRENT ROW), 9), 6)
          AS rolling_latency
 FROM events
 """)

@@ -17,8 +17,12 @@ RETENTION_DAYS = {
 }
 
 
+# Text formats keep milliseconds unless told otherwise.
+TEXT_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).options(**TEXT_TIMES).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tablestream.sources.writers import write_jdbc
+from tablestream.sources.writers import TEXT_TIMES, write_jdbc
 
 
 def _start(df: DataFrame, checkpoint: str, available: bool, mode: str = "append"):
@@ -26,8 +26,8 @@ def to_files(
 ) -> StreamingQuery:
     """Exactly-once append to files, optionally below partition folders."""
     writer = _start(df, checkpoint, available).format(fmt).option("path", path)
-    if fmt == "csv":
-        writer = writer.option("header", True)
+    if fmt in ("csv", "json"):
+        writer = writer.options(header=True, **TEXT_TIMES)
     if partition:
         writer = writer.partitionBy(*partition)
     return writer.start()
@@ -51,7 +51,9 @@ def to_topic(
     available: bool = False,
 ) -> StreamingQuery:
     """Rows as JSON messages, at least once. ``target`` may be ``text`` with a ``path``."""
-    messages = df if df.columns == ["value"] else df.select(F.to_json(F.struct("*")).alias("value"))
+    messages = df
+    if df.columns != ["value"]:
+        messages = df.select(F.to_json(F.struct("*"), TEXT_TIMES).alias("value"))
     writer = _start(messages, checkpoint, available).format(target)
     return writer.options(**dict(options or {})).start()
 
