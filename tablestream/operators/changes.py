@@ -10,6 +10,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _existence_after(op: Column) -> Column:
+    """Whether the key exists after an insert or delete; NULL for an update, which keeps it."""
+    return F.when(op == "I", True).when(op == "D", False)
+
+
 def _with_existence(
     target: DataFrame, changes: DataFrame, key: str, seq: str, block_rows: int
 ) -> DataFrame:
@@ -18,7 +23,7 @@ def _with_existence(
     Only inserts and deletes matter for that. The history of a key is cut into blocks of ``seq``;
     the last insert or delete of each block is carried into the next ones.
     """
-    turn = F.when(F.col("op") != "U", F.col("op"))
+    turn = _existence_after(F.col("op"))
     marked = changes.withColumn("_block", F.floor(F.col(seq) / block_rows))
     blocks = marked.groupBy(key, "_block").agg(
         F.max_by(turn, F.when(turn.isNotNull(), F.col(seq))).alias("_last")
@@ -36,11 +41,12 @@ def _with_existence(
     state = F.coalesce(
         F.last(turn, ignorenulls=True).over(before),
         F.col("_carried"),
-        F.when(F.col("_known"), "I").otherwise("D"),
+        F.col("_known"),
+        F.lit(False),
     )
     return (
         marked.join(carried, [key, "_block"])
-        .withColumn("_exists", state == "I")
+        .withColumn("_exists", state)
         .drop("_block", "_carried", "_known")
     )
 
@@ -61,14 +67,14 @@ def apply_changes(
     rejected = marked.filter(~applies).drop("_exists").withColumn("reason", reason)
 
     # The newest word on each field: an update that sets it, or any insert or delete.
-    turn = F.col("op") != "U"
+    turn = _existence_after(F.col("op"))
     newest = [
         F.max_by(
-            F.struct(F.col(f).alias("value")), F.when(turn | F.col(f).isNotNull(), F.col(seq))
+            F.struct(F.col(f).alias("value")), F.when(turn.isNotNull() | F.col(f).isNotNull(), F.col(seq))
         ).alias(f"_new_{f}")
         for f in fields
     ]
-    last_turn = F.max_by("op", F.when(turn, F.col(seq))).alias("_turn")
+    last_turn = F.max_by(turn, F.when(turn.isNotNull(), F.col(seq))).alias("_exists")
     merged = marked.filter(applies).groupBy(key).agg(last_turn, *newest)
 
     def value(f: str) -> Column:
@@ -78,7 +84,7 @@ def apply_changes(
 
     state = (
         target.join(merged, key, "full_outer")
-        .filter(F.col("_turn").isNull() | (F.col("_turn") != "D"))
+        .filter(F.coalesce("_exists", F.lit(True)))
         .select(key, *[value(f) for f in fields])
         .select(*target.columns)
     )

@@ -205,19 +205,32 @@ def quality_report(
     )
 
 
-def split_undecodable(
-    messages: DataFrame, ddl: str, value: str = "value"
-) -> tuple[DataFrame, DataFrame]:
-    """Typed rows and dead letters. A message that does not fit the schema is kept as it came."""
-    schema = f"{ddl}, _corrupt string"
+def decode_or_keep(messages: DataFrame, ddl: str, value: str = "value") -> DataFrame:
+    """Typed columns of each message in one pass; one that does not fit the schema has NULL
+    columns and is kept as it came in ``dead_letter``."""
     parsed = messages.withColumn(
         "_parsed",
         F.from_json(
-            F.col(value).cast("string"), schema,
+            F.col(value).cast("string"), f"{ddl}, _corrupt string",
             {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
         ),
     )
     bad = F.col("_parsed").isNull() | F.col("_parsed._corrupt").isNotNull()
     rest = [name for name in messages.columns if name != value]
-    good = parsed.filter(~bad).select(*rest, "_parsed.*").drop("_corrupt")
-    return good, parsed.filter(bad).select(*rest, value)
+    marked = parsed.withColumns(
+        {
+            "dead_letter": F.when(bad, F.col(value).cast("string")),
+            "_parsed": F.when(~bad, F.col("_parsed")),
+        }
+    )
+    return marked.select(*rest, "_parsed.*", "dead_letter").drop("_corrupt")
+
+
+def split_undecodable(
+    messages: DataFrame, ddl: str, value: str = "value"
+) -> tuple[DataFrame, DataFrame]:
+    """Typed rows and dead letters."""
+    rest = [name for name in messages.columns if name != value]
+    rows = decode_or_keep(messages.filter(F.col(value).isNotNull()), ddl, value)
+    good = rows.filter("dead_letter IS NULL").drop("dead_letter")
+    return good, rows.filter("dead_letter IS NOT NULL").select(*rest, "dead_letter")

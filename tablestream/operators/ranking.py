@@ -15,10 +15,16 @@ def rank_newest(df: DataFrame, key: str, ts: str, tie: str, name: str = "row_num
 
 
 def newest_per_key(df: DataFrame, keys: list[str], ts: str, tie: str) -> DataFrame:
-    """The newest row of each key, as an aggregate: every task keeps one row per key."""
+    """The newest row of each key, the one with the largest ``tie`` among equals.
+
+    The newest times are a hash aggregate over narrow columns; only rows of that time are compared
+    in full.
+    """
+    newest = df.groupBy(*keys).agg(F.max(ts).alias(ts))
     rest = [name for name in df.columns if name not in keys]
-    row = F.max_by(F.struct(*rest), F.struct(ts, tie)).alias("_row")
-    return df.groupBy(*keys).agg(row).select(*keys, "_row.*")
+    row = F.max_by(F.struct(*rest), tie).alias("_row")
+    latest = df.join(newest, [*keys, ts], "left_semi").groupBy(*keys).agg(row)
+    return latest.select(*keys, "_row.*").select(*df.columns)
 
 
 def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:

@@ -77,9 +77,9 @@ def trend_series(
 ) -> DataFrame:
     """Every daily point with the slope and label of its key."""
     daily = _recent_daily(df, key, ts, metric, days, as_of)
-    slopes = daily.groupBy(key).agg(F.regr_slope("value", "_x").alias("change_rate"))
-    labelled = slopes.withColumn("trend_direction", _direction(F.col("change_rate"), limit))
-    return daily.drop("_x").join(labelled, key)
+    slope = F.regr_slope("value", "_x").over(Window.partitionBy(key))
+    sloped = daily.withColumn("change_rate", slope).drop("_x")
+    return sloped.withColumn("trend_direction", _direction(F.col("change_rate"), limit))
 
 
 def seasonal_forecast(

@@ -89,9 +89,8 @@ def to_update_log(df: DataFrame, path: str, checkpoint: str, available: bool = F
 
 def read_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     log = spark.read.parquet(path)
-    rest = [name for name in log.columns if name not in (*keys, "batch")]
-    newest = F.max_by(F.struct(*rest), "batch").alias("_row")
-    return log.groupBy(*keys).agg(newest).select(*keys, "_row.*")
+    newest = log.groupBy(*keys).agg(F.max("batch").alias("batch"))
+    return log.join(newest, [*keys, "batch"], "left_semi").drop("batch")
 
 
 def read_complete(spark: SparkSession, path: str) -> DataFrame:
