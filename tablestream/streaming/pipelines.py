@@ -42,13 +42,14 @@ def live_alerts(
 
     def emit(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        alerts = explode_alerts(batch, limits)
+        alerts = explode_alerts(batch, limits).persist()
         previous = None
         if batch_id > 0:
             previous = spark.read.parquet(f"{path}/last_sent/batch={batch_id - 1}")
         sent = cooldown(alerts, ALERT_KEYS, "timestamp", tie, seconds, last_sent=previous)
         target = f"{path}/alerts/batch={batch_id}"
         sent.write.mode("overwrite").parquet(target)
+        alerts.unpersist()
         newest = (
             spark.read.parquet(target)
             .groupBy(*ALERT_KEYS)
