@@ -102,8 +102,8 @@ def cooldown(
 ) -> DataFrame:
     """The rows that are emitted when each one silences its key for ``seconds``.
 
-    Of rows with equal key and time the one with the smallest ``tie`` counts as first; an event
-    exactly ``seconds`` after the last emitted one is emitted again. ``last_sent`` (keys and
+    Of rows with equal key and time the one with the smallest ``tie`` counts as first, and of
+    copies that agree in all three any one; an event exactly ``seconds`` after the last emitted one is emitted again. ``last_sent`` (keys and
     ``last_sent``) continues from earlier batches. Key columns must not be NULL.
     """
     period = seconds * 1_000_000
@@ -138,4 +138,5 @@ def cooldown(
         .applyInPandas(_emitting(*args), f"{ddl}, _us long, _tie {tie_type}")
         .withColumnRenamed("_tie", tie)
     )
-    return rows.join(sent, [*keys, "_us", tie], "left_semi").drop("_us")
+    emitted = rows.join(sent, [*keys, "_us", tie], "left_semi")
+    return emitted.dropDuplicates([*keys, "_us", tie]).drop("_us")

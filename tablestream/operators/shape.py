@@ -165,7 +165,7 @@ READING_LAYOUTS = {
 }
 
 
-def unify_readings(df: DataFrame, layout: str) -> DataFrame:
+def unify_readings(df: DataFrame, layout: str, whole_seconds: bool = True) -> DataFrame:
     """The common reading columns of a table, whichever of the three layouts it has."""
     if layout not in READING_LAYOUTS:
         raise ValueError(f"unknown layout: {layout}")
@@ -179,7 +179,7 @@ def unify_readings(df: DataFrame, layout: str) -> DataFrame:
     return df.select(
         "city_name",
         day.alias("measurement_date"),
-        F.date_trunc("second", moment).alias("measurement_time"),
+        (F.date_trunc("second", moment) if whole_seconds else moment).alias("measurement_time"),
         *[field(name, "double") for name in ("temperature", "humidity", "pressure", "wind_speed")],
         field("weather_condition", "string"),
     )

@@ -113,6 +113,16 @@ def write_partitions(
     )
 
 
+def replace_partition(df: DataFrame, table: str, column: str, day: date) -> None:
+    """Replace one day of a partitioned table by these rows, all others stay."""
+    spark = df.sparkSession
+    names = [name for name in spark.table(table).columns if name != column]
+    spark.sql(
+        f"INSERT OVERWRITE {table} PARTITION ({column} = DATE'{day}') SELECT * FROM {{rows}}",
+        rows=df.select(*names),
+    )
+
+
 def expire_partitions(
     spark: SparkSession, table: str, column: str, days: int, as_of: date
 ) -> list[str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import deque
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,12 +33,14 @@ def live_alerts(
     limits: Limits = LIMITS,
     seconds: int = 3600,
     available: bool = False,
+    publish: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """Readings to alerts that are silent for a while after each emitted one.
 
     Each micro-batch runs the batch cool-down, which splits busy keys over tasks, from the time
     every key last emitted. Alerts and times are written per batch, and a repeated batch replaces
-    its own files, so a restart neither loses nor doubles an alert.
+    its own files, so a restart neither loses nor doubles an alert. ``publish`` also gets each
+    batch of written alerts, at least once, for a topic or another table.
     """
 
     def emit(batch: DataFrame, batch_id: int) -> None:
@@ -50,9 +53,9 @@ def live_alerts(
         target = f"{path}/alerts/batch={batch_id}"
         sent.write.mode("overwrite").parquet(target)
         alerts.unpersist()
+        written = spark.read.schema(sent.schema).parquet(target)
         newest = (
-            spark.read.parquet(target)
-            .groupBy(*ALERT_KEYS)
+            written.groupBy(*ALERT_KEYS)
             .agg(F.max("timestamp").alias("last_sent"))
         )
         if previous is not None:
@@ -62,6 +65,8 @@ def live_alerts(
                 .agg(F.max("last_sent").alias("last_sent"))
             )
         newest.write.mode("overwrite").parquet(f"{path}/last_sent/batch={batch_id}")
+        if publish is not None:
+            publish(written, batch_id)
 
     return to_batches(readings, emit, checkpoint, "append", available)
 

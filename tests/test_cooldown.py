@@ -43,6 +43,11 @@ def test_equal_times_send_the_smallest_id_once(spark):
     assert emitted(cooldown(frame(spark, rows), ["key"], "t", "id")) == [3]
 
 
+def test_copies_of_a_row_are_sent_once(spark):
+    rows = [("a", 5, 3)] * 4 + [("a", 4000, 4)] * 2
+    assert emitted(cooldown(frame(spark, rows), ["key"], "t", "id")) == [3, 4]
+
+
 def test_a_hot_key_is_split_without_changing_the_result(spark):
     rows = [("hot", (i * 37) % 90_000, i) for i in range(6000)]
     rows += [("cold", i * 2000, 10_000 + i) for i in range(30)]

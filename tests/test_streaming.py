@@ -125,8 +125,12 @@ def test_live_alerts_over_batches(spark, drops, tmp_path):
     for rows in batches:
         drops.add(*rows)
     out = str(tmp_path / "out")
+    topic = sinks.batch_files(
+        str(tmp_path / "topic"), lambda b: b.select(F.to_json(F.struct("*")).alias("value")), "text"
+    )
     run(pipelines.live_alerts(drops.stream(), out, str(tmp_path / "cp"), "event_id",
-                              available=True))
+                              available=True, publish=topic))
+    assert spark.read.text(str(tmp_path / "topic")).count() == 5
     sent = spark.read.parquet(f"{out}/alerts")
     assert sent.select("batch").distinct().count() == 3
     hot = [("a", r[2].minute * 60 + r[2].hour * 3600, r[0])
