@@ -30,6 +30,8 @@ def main() -> None:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        # Call sites for error messages cost a round trip to the JVM per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if "spark.checkpoint.dir" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
         scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")

@@ -28,10 +28,16 @@ class Critical:
 
 
 LIMITS = Limits()
-SERVICE_LEVELS = Critical(38.0, 2.0, 20.0)
 VIEW_LEVELS = Critical(38.0, 0.0, 20.0)
 
 
+def service_levels(limits: Limits) -> Critical:
+    """Fixed margins beyond the limits."""
+    return Critical(
+        limits.temperature_high + 3, limits.temperature_low - 3, limits.wind_speed_high + 5
+    )
+
+
 @dataclass(frozen=True)
 class _Rule:
     alert_type: str
@@ -55,8 +61,9 @@ class _Rule:
         return F.concat(F.lit(f"{self.label}{verb}: "), value, F.lit(self.unit))
 
 
-def _rules(limits: Limits, critical: Critical) -> list[_Rule]:
-    """In order of precedence."""
+def _rules(limits: Limits, critical: Critical | None = None) -> list[_Rule]:
+    """In order of precedence. Without critical levels of their own, those of the service."""
+    critical = critical or service_levels(limits)
     return [
         _Rule("HIGH_TEMPERATURE", "temperature", True, limits.temperature_high,
               critical.temperature_high, "High temperature", "°C"),
@@ -78,14 +85,14 @@ def _first_of(pairs: list[tuple[Column, Column]], default: Column) -> Column:
 
 def any_violation(limits: Limits = LIMITS) -> Column:
     """True where some rule is violated; NULL metrics violate none."""
-    first, *others = [r.violated for r in _rules(limits, SERVICE_LEVELS)]
+    first, *others = [r.violated for r in _rules(limits)]
     for test in others:
         first = first | test
     return first
 
 
 def classify(
-    df: DataFrame, limits: Limits = LIMITS, critical: Critical = SERVICE_LEVELS
+    df: DataFrame, limits: Limits = LIMITS, critical: Critical | None = None
 ) -> DataFrame:
     """Add the alert columns of the first violated rule; unalarming rows are OTHER / info."""
     rules = _rules(limits, critical)
@@ -112,14 +119,14 @@ def classify(
 
 
 def first_alert(
-    df: DataFrame, limits: Limits = LIMITS, critical: Critical = SERVICE_LEVELS
+    df: DataFrame, limits: Limits = LIMITS, critical: Critical | None = None
 ) -> DataFrame:
     """One alert per violating row, by the first rule it violates."""
     return classify(df.filter(any_violation(limits)), limits, critical)
 
 
 def explode_alerts(
-    df: DataFrame, limits: Limits = LIMITS, critical: Critical = SERVICE_LEVELS
+    df: DataFrame, limits: Limits = LIMITS, critical: Critical | None = None
 ) -> DataFrame:
     """One alert per violated rule, so none to four per row."""
     found = []

@@ -24,22 +24,23 @@ from tablestream.session import cut_lineage
 _MAX_SLICES = 36_000
 
 
-def _follow(times: np.ndarray, period: int, width: int, slices: int):
-    """For sorted event times of one slice: cell of each, its successor in the slice (itself when
-    the chain leaves) and the first cell it may enter after leaving."""
-    cells = (times // period) * slices + (times % period) // width
-    after = cells + slices
-    successor = np.searchsorted(times, times + period, side="left")
-    found = np.minimum(successor, len(times) - 1)
-    stays = (successor < len(times)) & (cells[found] == after)
-    own = np.arange(len(times))
-    return cells, np.where(stays, found, own), after + 1
-
-
-def _leaving(period: int, width: int, slices: int, keys: list[str]):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
+def _steps(period: int, width: int, slices: int, keys: list[str]):
+    """The per-group functions of the three steps. They are closures over plain values, so they
+    travel to executors that do not have this package."""
+
+    def follow(times: np.ndarray):
+        """For sorted event times of one slice: cell of each, its successor in the slice (itself
+        when the chain leaves) and the first cell it may enter after leaving."""
+        cells = (times // period) * slices + (times % period) // width
+        after = cells + slices
+        successor = np.searchsorted(times, times + period, side="left")
+        found = np.minimum(successor, len(times) - 1)
+        stays = (successor < len(times)) & (cells[found] == after)
+        return cells, np.where(stays, found, np.arange(len(times))), after + 1
+
+    def leaving(group: pd.DataFrame) -> pd.DataFrame:
         times = np.sort(group["_us"].to_numpy())
-        cells, successor, leaves = _follow(times, period, width, slices)
+        cells, successor, leaves = follow(times)
         while True:
             further = successor[successor]
             if np.array_equal(further, successor):
@@ -49,11 +50,7 @@ def _leaving(period: int, width: int, slices: int, keys: list[str]):
         out = {k: [group[k].iloc[0]] * len(entered) for k in keys}
         return pd.DataFrame({**out, "_cell": entered, "_leave": leaves[successor[first]]})
 
-    return run
-
-
-def _walking(keys: list[str]):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
+    def walking(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("_cell")
         cells = group["_cell"].to_numpy()
         following = np.searchsorted(cells, group["_leave"].to_numpy(), side="left").tolist()
@@ -63,14 +60,10 @@ def _walking(keys: list[str]):
             at = following[at]
         return group.iloc[visited][[*keys, "_cell"]]
 
-    return run
-
-
-def _emitting(period: int, width: int, slices: int, keys: list[str]):
-    def run(group: pd.DataFrame, entered: pd.DataFrame) -> pd.DataFrame:
+    def emitting(group: pd.DataFrame, entered: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("_us")
         times = group["_us"].to_numpy()
-        cells, successor, _ = _follow(times, period, width, slices)
+        cells, successor, _ = follow(times)
         sent = np.zeros(len(times), dtype=bool)
         for at in np.searchsorted(cells, entered["_cell"].to_numpy(), side="left").tolist():
             while True:
@@ -80,7 +73,7 @@ def _emitting(period: int, width: int, slices: int, keys: list[str]):
                 at = successor[at]
         return group.loc[sent, [*keys, "_us", "_tie"]]
 
-    return run
+    return leaving, walking, emitting
 
 
 def _slices_for(times: DataFrame, keys: list[str], slice_rows: int) -> int:
@@ -126,16 +119,16 @@ def cooldown(
 
     ddl = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     tie_type = df.schema[tie].dataType.simpleString()
-    args = (period, width, slices, keys)
+    leave, walk, emit = _steps(period, width, slices, keys)
     leaving = sliced.groupBy(*keys, "_part").applyInPandas(
-        _leaving(*args), f"{ddl}, _cell long, _leave long"
+        leave, f"{ddl}, _cell long, _leave long"
     )
-    entered = leaving.groupBy(*keys).applyInPandas(_walking(keys), f"{ddl}, _cell long")
+    entered = leaving.groupBy(*keys).applyInPandas(walk, f"{ddl}, _cell long")
     entered = entered.withColumn("_part", F.pmod("_cell", F.lit(slices)).cast("int"))
     sent = (
         sliced.groupBy(*keys, "_part")
         .cogroup(entered.groupBy(*keys, "_part"))
-        .applyInPandas(_emitting(*args), f"{ddl}, _us long, _tie {tie_type}")
+        .applyInPandas(emit, f"{ddl}, _us long, _tie {tie_type}")
         .withColumnRenamed("_tie", tie)
     )
     emitted = rows.join(sent, [*keys, "_us", tie], "left_semi")

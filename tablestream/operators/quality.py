@@ -19,6 +19,8 @@ RANGES = {
     "avg_pressure": (800.0, 1200.0),
 }
 
+ANY = (float("-inf"), float("inf"))
+
 # Percentages above which a table gets a warning or fails.
 NULL_WARNING, NULL_FAIL = 5.0, 10.0
 RANGE_WARNING, RANGE_FAIL = 1.0, 5.0
@@ -93,8 +95,7 @@ def profile(df: DataFrame, fields: dict[str, tuple[float, float]]) -> DataFrame:
 
 
 def null_profile(df: DataFrame, fields: list[str]) -> DataFrame:
-    everything = {name: (float("-inf"), float("inf")) for name in fields}
-    return profile(df, everything).select(
+    return profile(df, dict.fromkeys(fields, ANY)).select(
         "field", "total", "null_count", "non_null", "null_percentage"
     )
 
@@ -127,7 +128,7 @@ def _table_severity(
     start = as_of - timedelta(days=days - 1)
     counts = {}
     for field in table.fields:
-        low, high = RANGES[field]
+        low, high = RANGES.get(field, ANY)
         value = F.col(field)
         counts[f"_null_{field}"] = F.count_if(value.isNull())
         counts[f"_out_{field}"] = F.count_if((value < low) | (value > high))

@@ -60,7 +60,9 @@ def layout(df: DataFrame, partition: list[str], cluster: list[str]) -> DataFrame
     """
     if partition:
         df = df.hint("rebalance", *partition)
-    return df.sortWithinPartitions(*partition, *cluster)
+    if partition or cluster:
+        df = df.sortWithinPartitions(*partition, *cluster)
+    return df
 
 
 def create_layout(
@@ -76,11 +78,17 @@ def append_table(df: DataFrame, table: str) -> None:
 
 
 def load_table(
-    df: DataFrame, tables: Mapping[str, str], key: str, disposition: str = "APPEND"
+    df: DataFrame,
+    tables: Mapping[str, str],
+    key: str,
+    disposition: str = "APPEND",
+    partition: list[str] | None = None,
+    cluster: list[str] | None = None,
 ) -> int:
     """Load rows into the table named by ``key`` and return how many were written.
 
-    EMPTY refuses a table that has rows. The count comes from the write itself.
+    EMPTY refuses a table that has rows. A missing table is created, with the given layout. The
+    count comes from the write itself.
     """
     if key not in tables:
         raise ValueError(f"unknown table key: {key}")
@@ -91,8 +99,9 @@ def load_table(
     if disposition == "EMPTY" and exists and not spark.table(table).isEmpty():
         raise ValueError(f"table {table} is not empty")
     rows, seen = counted(df)
+    rows = layout(rows, partition or [], cluster or [])
     if not exists:
-        rows.write.saveAsTable(table)
+        rows.write.partitionBy(*partition or []).saveAsTable(table)
     else:
         ordered = rows.select(*spark.table(table).columns)
         ordered.write.insertInto(table, overwrite=disposition == "TRUNCATE")

@@ -39,7 +39,10 @@ def load_weather_day(
 ) -> int:
     """One day of raw records into the batch table; returns the rows written."""
     raw = read_landing(spark, root, day, schema)
-    return load_table(shape.flatten_weather(raw, day, processing_time), {"BATCH": BATCH}, "BATCH")
+    flat = shape.flatten_weather(raw, day, processing_time)
+    return load_table(
+        flat, {"BATCH": BATCH}, "BATCH", partition=["processing_date"], cluster=["city_name"]
+    )
 
 
 def generate_analytics(spark: SparkSession, day: date, processing_time) -> int:

@@ -41,6 +41,8 @@ def test_levels_of_service_and_view_differ(spark):
     assert alerts.classify(df).first().alert_level == "critical"
     view = alerts.classify(df, critical=alerts.VIEW_LEVELS).first()
     assert view.alert_level == "warning"
+    lower = alerts.Limits(temperature_low=1.5)
+    assert alerts.classify(df, lower).first().alert_level == "warning"
 
 
 def test_flag_and_counts(spark):

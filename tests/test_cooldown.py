@@ -1,9 +1,11 @@
+import subprocess
+import sys
 from datetime import datetime, timedelta, timezone
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from tablestream.operators.cooldown import cooldown
+from tablestream.operators.cooldown import _steps, cooldown
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
@@ -71,6 +73,17 @@ def test_empty_input(spark):
     assert emitted(cooldown(frame(spark, []), ["key"], "t", "id")) == []
 
 
+def test_steps_need_no_package_on_executors():
+    from pyspark import cloudpickle
+
+    steps = cloudpickle.dumps(_steps(3_600_000_000, 3_600_000_000, 1, ["key"]))
+    load = "import sys, pyspark.cloudpickle as c; c.loads(bytes.fromhex(sys.stdin.read()))"
+    done = subprocess.run(
+        [sys.executable, "-c", load], input=steps.hex(), text=True, cwd="/", capture_output=True
+    )
+    assert done.returncode == 0, done.stderr
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 400)), min_size=1, max_size=60),

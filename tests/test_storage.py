@@ -85,8 +85,8 @@ def test_seed_views_and_tables(spark, tmp_path, table):
     path = tmp_path / "seed.csv"
     path.write_text("id,name,created_at,updated_at\n1,ValidName1,2021-01-01,2021-01-01\n"
                     "2,ValidName2,,2021-01-02\n")
-    readers.read_seed(spark, str(path), "my_seed", schemas.SEED)
-    assert spark.sql("SELECT id FROM my_seed WHERE created_at IS NOT NULL").count() == 1
+    readers.read_seed(spark, str(path), "seed", schemas.SEED)
+    assert spark.sql("SELECT id FROM seed WHERE created_at IS NOT NULL").count() == 1
     rows = readers.literal_rows(spark, [(3, "c"), (1, "a"), (2, "b")], "id int, s string")
     writers.save_model(rows, table)
     got = readers.scan_table(spark, table, ["s"], ["s"], 2).collect()
