@@ -12,7 +12,7 @@ from tablestream.schemas import CONDITIONS
 def flatten_weather(df: DataFrame, processing_date, processing_time=None) -> DataFrame:
     """One flat row per raw record; the first listed condition, if any, describes it."""
     stamped = F.current_timestamp() if processing_time is None else F.lit(str(processing_time))
-    first = F.get(F.from_json("weather", CONDITIONS), F.lit(0))
+    df = df.withColumn("_first", F.get(F.from_json("weather", CONDITIONS), F.lit(0)))
     sunrise, sunset = from_epoch(F.col("sys.sunrise")), from_epoch(F.col("sys.sunset"))
     return df.select(
         "city_name",
@@ -26,8 +26,8 @@ def flatten_weather(df: DataFrame, processing_date, processing_time=None) -> Dat
         F.col("wind.speed").alias("wind_speed"),
         F.col("wind.deg").alias("wind_direction"),
         F.col("clouds.all").alias("cloudiness"),
-        first["main"].alias("weather_condition"),
-        first["description"].alias("weather_description"),
+        F.col("_first.main").alias("weather_condition"),
+        F.col("_first.description").alias("weather_description"),
         from_epoch(F.col("dt")).alias("measurement_time"),
         sunrise.alias("sunrise"),
         sunset.alias("sunset"),

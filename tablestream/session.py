@@ -7,6 +7,21 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# For a large cluster. Partitions start out many and are merged to the advised size; skewed ones
+# are split; window state lives on disk and is checkpointed as changes.
+CLUSTER_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -16,6 +31,12 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def cluster_session(builder: SparkSession.Builder) -> SparkSession:
+    for name, value in CLUSTER_SETTINGS.items():
+        builder = builder.config(name, value)
+    return builder.getOrCreate()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 

@@ -126,20 +126,34 @@ def batch_files(path: str, shape: Callable[[DataFrame], DataFrame], fmt: str = "
     return write
 
 
+def _known_keys(spark: SparkSession, url: str, table: str, key: str) -> DataFrame:
+    have = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+    return have.load().select(key)
+
+
 def jdbc_batches(url: str, table: str, key: str, batch_size: int = 200, retries: int = 5):
-    """A writer that appends rows whose key the table lacks, so a repeated batch adds nothing."""
+    """A writer of rows with a unique key to a relational table.
+
+    Only the first batch of a run and a retried one can repeat rows; those are compared with the
+    keys in the table first, all others are appended as they are.
+    """
+    may_repeat = True
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        nonlocal may_repeat
         for attempt in range(retries + 1):
+            rows = batch.dropDuplicates([key])
             try:
-                have = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-                known = have.load().select(key)
-                new = batch.dropDuplicates([key]).join(known, key, "left_anti")
-                write_jdbc(new, url, table, "append", batch_size)
-                return
+                if may_repeat:
+                    known = _known_keys(batch.sparkSession, url, table, key)
+                    rows = rows.join(known, key, "left_anti")
+                write_jdbc(rows, url, table, "append", batch_size)
             except Exception:
+                may_repeat = True
                 if attempt == retries:
                     raise
+            else:
+                may_repeat = False
+                return
 
     return write

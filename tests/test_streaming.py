@@ -10,6 +10,7 @@ from test_cooldown import expected
 from tablestream import schemas
 from tablestream.operators import alerts, shape
 from tablestream.operators.quality import split_undecodable
+from tablestream.session import CLUSTER_SETTINGS
 from tablestream.sources import readers
 from tablestream.streaming import pipelines, sinks, windows
 
@@ -200,6 +201,49 @@ def test_topic_messages_and_csv(spark, drops, tmp_path):
     assert sorted(r.doubled for r in got.collect()) == [40.0, 42.0]
 
 
+def test_relational_rows_are_written_once(spark, tmp_path, monkeypatch):
+    path, calls = str(tmp_path / "table"), []
+    spark.createDataFrame([("old",)], "message_id string").write.parquet(path)
+
+    def write(df, url, table, mode, batch_size):
+        calls.append((table, batch_size))
+        df.write.mode(mode).parquet(path)
+        if len(calls) == 2:
+            raise OSError("lost the connection after writing")
+
+    def known(session, url, table, key):
+        calls.append("compared")
+        return session.createDataFrame(session.read.parquet(path).select(key).collect())
+
+    monkeypatch.setattr(sinks, "write_jdbc", write)
+    monkeypatch.setattr(sinks, "_known_keys", known)
+    send = sinks.jdbc_batches("jdbc:x", "events", "message_id", retries=1)
+
+    def batch(*keys):
+        return spark.createDataFrame([(k,) for k in keys], "message_id string")
+
+    send(batch("old", "a", "a"), 0)
+    send(batch("b"), 1)
+    send(batch("c"), 2)
+    assert sorted(r.message_id for r in spark.read.parquet(path).collect()) == ["a", "b", "c", "old"]
+    assert calls == ["compared", ("events", 200), "compared", ("events", 200), ("events", 200),
+                     ("events", 200)]
+
+
+def test_cluster_settings_run_windows(spark, drops, tmp_path):
+    names = [n for n in CLUSTER_SETTINGS if "streaming" in n]
+    drops.add(reading(1, 0), reading(2, 1))
+    try:
+        for name in names:
+            spark.conf.set(name, CLUSTER_SETTINGS[name])
+        counts = windows.minute_counts(drops.stream(), "city_name", "timestamp")
+        run(sinks.to_update_log(counts, str(tmp_path / "m"), str(tmp_path / "mc"), True))
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    assert spark.read.parquet(str(tmp_path / "m")).count() == 2
+
+
 def test_throughput_and_recent(spark):
     rows = [(START + timedelta(seconds=s),) for s in (0, 1, 4, 5, 100)]
     df = spark.createDataFrame(rows, "t timestamp")
