@@ -16,22 +16,23 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablestream.session import cut_lineage
 
-_MAX_SLICES = 36_000
+_MAX_SLICES = 10_000
 
 
-def _steps(period: int, width: int, slices: int, keys: list[str]):
+def _steps(period: int, slices: int, keys: list[str]):
     """The per-group functions of the three steps. They are closures over plain values, so they
     travel to executors that do not have this package."""
 
-    def follow(times: np.ndarray):
+    def follow(times: np.ndarray, part: int):
         """For sorted event times of one slice: cell of each, its successor in the slice (itself
         when the chain leaves) and the first cell it may enter after leaving."""
-        cells = (times // period) * slices + (times % period) // width
+        cells = (times // period) * slices + part
         after = cells + slices
         successor = np.searchsorted(times, times + period, side="left")
         found = np.minimum(successor, len(times) - 1)
@@ -40,7 +41,7 @@ def _steps(period: int, width: int, slices: int, keys: list[str]):
 
     def leaving(group: pd.DataFrame) -> pd.DataFrame:
         times = np.sort(group["_us"].to_numpy())
-        cells, successor, leaves = follow(times)
+        cells, successor, leaves = follow(times, group["_part"].iloc[0])
         while True:
             further = successor[successor]
             if np.array_equal(further, successor):
@@ -63,7 +64,9 @@ def _steps(period: int, width: int, slices: int, keys: list[str]):
     def emitting(group: pd.DataFrame, entered: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("_us")
         times = group["_us"].to_numpy()
-        cells, successor, _ = follow(times)
+        if not len(times):
+            return group[[*keys, "_us", "_tie"]]
+        cells, successor, _ = follow(times, group["_part"].iloc[0])
         sent = np.zeros(len(times), dtype=bool)
         for at in np.searchsorted(cells, entered["_cell"].to_numpy(), side="left").tolist():
             while True:
@@ -77,12 +80,25 @@ def _steps(period: int, width: int, slices: int, keys: list[str]):
 
 
 def _slices_for(times: DataFrame, keys: list[str], slice_rows: int) -> int:
-    """Slices so that the largest key has about ``slice_rows`` rows in each; one number."""
+    """Slices so that the largest key has about ``slice_rows`` rows in each."""
     per_key = times.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     largest = per_key.agg(F.max("n")).first()[0] or 0
     return max(1, min(_MAX_SLICES, -(-largest // slice_rows)))
 
 
+def _borders(times: DataFrame, slices: int) -> list[float]:
+    """Offsets that cut the events into about equal slices. A sample is enough: the borders decide
+    how even the work is, not what comes out."""
+    if slices == 1:
+        return []
+    share = min(1.0, 1000 * slices / max(1, times.count()))
+    cuts = F.percentile_approx(
+        "_offset", [i / slices for i in range(1, slices)], F.lit(100 * slices)
+    )
+    found = times.sample(share, seed=0).agg(cuts).first()[0] or []
+    return sorted(set(map(float, found)) - {0.0})
+
+
 def cooldown(
     df: DataFrame,
     keys: list[str],
@@ -96,8 +112,9 @@ def cooldown(
     """The rows that are emitted when each one silences its key for ``seconds``.
 
     Of rows with equal key and time the one with the smallest ``tie`` counts as first, and of
-    copies that agree in all three any one; an event exactly ``seconds`` after the last emitted one is emitted again. ``last_sent`` (keys and
-    ``last_sent``) continues from earlier batches. Key columns must not be NULL.
+    copies that agree in all three any one. An event exactly ``seconds`` after the last emitted
+    one is emitted again. ``last_sent`` (keys and ``last_sent``) continues from earlier batches.
+    Key columns must not be NULL.
     """
     period = seconds * 1_000_000
     rows = df.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
@@ -109,17 +126,26 @@ def cooldown(
             .drop("_since")
         )
     # Far narrower than the rows, and used several times.
-    times = cut_lineage(rows.groupBy(*keys, "_us").agg(F.min(tie).alias("_tie")))
+    times = cut_lineage(
+        rows.groupBy(*keys, "_us")
+        .agg(F.min(tie).alias("_tie"))
+        .withColumn("_offset", F.pmod("_us", F.lit(period)).cast("double"))
+    )
     if slices is None:
         slices = _slices_for(times, keys, slice_rows)
-    width = -(-period // slices)
-    offset = F.pmod(F.col("_us"), F.lit(period))
-    part = F.floor(offset / width).cast("int").alias("_part")
-    sliced = times.select(*keys, part, "_us", "_tie")
+    borders = _borders(times, slices)
+    slices = len(borders) + 1
+    if borders:
+        splits = [float("-inf"), *borders, float("inf")]
+        cut = Bucketizer(splits=splits, inputCol="_offset", outputCol="_part")
+        sliced = cut.transform(times).withColumn("_part", F.col("_part").cast("int"))
+    else:
+        sliced = times.withColumn("_part", F.lit(0))
+    sliced = sliced.select(*keys, "_part", "_us", "_tie")
 
     ddl = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     tie_type = df.schema[tie].dataType.simpleString()
-    leave, walk, emit = _steps(period, width, slices, keys)
+    leave, walk, emit = _steps(period, slices, keys)
     leaving = sliced.groupBy(*keys, "_part").applyInPandas(
         leave, f"{ddl}, _cell long, _leave long"
     )

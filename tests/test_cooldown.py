@@ -5,7 +5,7 @@ from datetime import datetime, timedelta, timezone
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from tablestream.operators.cooldown import _steps, cooldown
+from tablestream.operators.cooldown import _borders, _steps, cooldown
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
@@ -60,6 +60,15 @@ def test_a_hot_key_is_split_without_changing_the_result(spark):
     assert emitted(cooldown(df, ["key"], "t", "id", slice_rows=500)) == want
 
 
+def test_events_close_to_one_offset_are_split_too(spark):
+    rows = [("hot", 3600 * (i % 50) + (i * 13) % 100 / 1000, i) for i in range(3000)]
+    df = frame(spark, rows).persist()
+    want = expected(rows)
+    assert emitted(cooldown(df, ["key"], "t", "id", slice_rows=200)) == want
+    width = len(_borders(df.selectExpr("date_part('seconds', t) * 1.0D AS _offset"), 10))
+    assert width == 9
+
+
 def test_continues_from_an_earlier_batch(spark):
     first = [("a", 0, 1), ("a", 3000, 2), ("b", 100, 3)]
     second = [("a", 3599, 4), ("a", 3700, 5), ("b", 3700, 6), ("c", 10, 7)]
@@ -76,7 +85,7 @@ def test_empty_input(spark):
 def test_steps_need_no_package_on_executors():
     from pyspark import cloudpickle
 
-    steps = cloudpickle.dumps(_steps(3_600_000_000, 3_600_000_000, 1, ["key"]))
+    steps = cloudpickle.dumps(_steps(3_600_000_000, 1, ["key"]))
     load = "import sys, pyspark.cloudpickle as c; c.loads(bytes.fromhex(sys.stdin.read()))"
     done = subprocess.run(
         [sys.executable, "-c", load], input=steps.hex(), text=True, cwd="/", capture_output=True
