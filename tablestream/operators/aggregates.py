@@ -106,7 +106,8 @@ def hourly_metric_stats(hourly: DataFrame) -> DataFrame:
         "humidity": ("avg_humidity",) * 3,
         "pressure": ("avg_pressure",) * 3,
     }
-    return _long_stats(hourly, [F.col("city_name"), F.to_date("window_start").alias("date")], sources)
+    group = [F.col("city_name"), F.to_date("window_start").alias("date")]
+    return _long_stats(hourly, group, sources)
 
 
 def stats(

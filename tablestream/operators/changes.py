@@ -15,16 +15,23 @@ def _existence_after(op: Column) -> Column:
     return F.when(op == "I", True).when(op == "D", False)
 
 
+def _width(changes: DataFrame, seq: str, block_rows: int) -> int:
+    """Numbers per block, whether ``seq`` counts rows or, say, microseconds."""
+    low, high, rows = changes.agg(F.min(seq), F.max(seq), F.count(F.lit(1))).first()
+    blocks = -(-rows // block_rows)
+    return max(1, -(-(high - low + 1) // blocks)) if blocks else 1
+
+
 def _with_existence(
     target: DataFrame, changes: DataFrame, key: str, seq: str, block_rows: int
 ) -> DataFrame:
     """Mark each change with whether its key exists just before it.
 
-    Only inserts and deletes matter for that. The history of a key is cut into blocks of ``seq``;
-    the last insert or delete of each block is carried into the next ones.
+    Only inserts and deletes matter for that. The log is cut into ranges of ``seq`` with about
+    ``block_rows`` changes; the last insert or delete of a key in each is carried into the next.
     """
     turn = _existence_after(F.col("op"))
-    marked = changes.withColumn("_block", F.floor(F.col(seq) / block_rows))
+    marked = changes.withColumn("_block", F.floor(F.col(seq) / _width(changes, seq, block_rows)))
     blocks = marked.groupBy(key, "_block").agg(
         F.max_by(turn, F.when(turn.isNotNull(), F.col(seq))).alias("_last")
     )

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablestream.functions.columns import cents_to_units
+from tablestream.functions import columns
 from tablestream.functions.predicates import above, date_range
 from tablestream.operators import aggregates, joins, ranking, series
 from tablestream.plans.fixtures import (
@@ -153,8 +153,8 @@ SELECT o_orderkey AS order_id,
        CAST(round(o_totalprice * 100) AS BIGINT) / 100 AS amount
 FROM orders WHERE CAST(round(o_totalprice * 100) AS BIGINT) / 100 > 10
 """)
-def cents_to_units_filter(spark: SparkSession, data: str) -> DataFrame:
-    amount = cents_to_units(F.col("total_amount")).alias("amount")
+def cents_to_units(spark: SparkSession, data: str) -> DataFrame:
+    amount = columns.cents_to_units(F.col("total_amount")).alias("amount")
     return above(orders(spark, data).select("order_id", amount), "amount", 10.0)
 
 
@@ -164,7 +164,7 @@ FROM orders WHERE CAST(round(o_totalprice * 100) AS BIGINT) / 100 > 10
 ORDER BY o_orderkey LIMIT 10
 """)
 def first_orders(spark: SparkSession, data: str) -> DataFrame:
-    return ranking.top_n(cents_to_units_filter(spark, data), [F.asc("order_id")], 10)
+    return ranking.top_n(cents_to_units(spark, data), [F.asc("order_id")], 10)
 
 
 @query("""

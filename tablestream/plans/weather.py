@@ -126,7 +126,8 @@ SELECT 'streaming', city_name, strftime(measurement_time, '%Y-%m-%d'),
        city_name FROM readings
 UNION ALL
 SELECT 'hourly', city_name, strftime(window_start, '%Y-%m-%d'), window_start,
-       round(round(avg_temperature, 9), 6), round(round(avg_humidity, 9), 6), round(round(avg_pressure, 9), 6), NULL, NULL
+       round(round(avg_temperature, 9), 6), round(round(avg_humidity, 9), 6),
+       round(round(avg_pressure, 9), 6), NULL, NULL
 FROM hourly
 """)
 def unify_layouts(spark: SparkSession, data: str) -> DataFrame:
@@ -184,7 +185,8 @@ WITH {READINGS}
 SELECT city_name, strftime(measurement_time, '%Y-%m-%d') AS date,
        round(round(avg(temperature), 9), 6) AS avg_temp, max(temperature) AS max_temp,
        min(temperature) AS min_temp, round(round(avg(humidity), 9), 6) AS avg_humidity,
-       round(round(avg(pressure), 9), 6) AS avg_pressure, round(round(avg(wind_speed), 9), 6) AS avg_wind_speed,
+       round(round(avg(pressure), 9), 6) AS avg_pressure,
+       round(round(avg(wind_speed), 9), 6) AS avg_wind_speed,
        count(*) AS measurement_count
 FROM readings WHERE measurement_time >= DATE '2024-01-01' GROUP BY 1, 2
 """)
@@ -213,7 +215,8 @@ def _daily_stats(spark: SparkSession, data: str) -> DataFrame:
 
 @query(f"""
 WITH {LONG_STATS}
-SELECT city_name, strftime(d, '%Y-%m-%d') AS date, metric_type, round(round(avg_value, 9), 6) AS avg_value,
+SELECT city_name, strftime(d, '%Y-%m-%d') AS date, metric_type,
+       round(round(avg_value, 9), 6) AS avg_value,
        min_value, max_value, round(round(std_dev, 9), 6) AS std_dev,
        CASE metric_type WHEN 'temperature' THEN '°C' WHEN 'humidity' THEN '%'
             WHEN 'pressure' THEN 'hPa' ELSE 'm/s' END AS unit
@@ -227,15 +230,18 @@ def metric_stats(spark: SparkSession, data: str) -> DataFrame:
 @query(f"""
 WITH {HOURLY}
 SELECT city_name, strftime(window_start, '%Y-%m-%d') AS date, 'temperature' AS metric_type,
-       round(round(avg(avg_temperature), 9), 6) AS avg_value, round(round(min(min_temperature), 9), 6) AS min_value,
+       round(round(avg(avg_temperature), 9), 6) AS avg_value,
+       round(round(min(min_temperature), 9), 6) AS min_value,
        round(round(max(max_temperature), 9), 6) AS max_value,
        round(round(stddev_samp(avg_temperature), 9), 6) AS std_dev FROM hourly GROUP BY 1, 2
 UNION ALL
-SELECT city_name, strftime(window_start, '%Y-%m-%d'), 'humidity', round(round(avg(avg_humidity), 9), 6),
+SELECT city_name, strftime(window_start, '%Y-%m-%d'), 'humidity',
+       round(round(avg(avg_humidity), 9), 6),
        round(round(min(avg_humidity), 9), 6), round(round(max(avg_humidity), 9), 6),
        round(round(stddev_samp(avg_humidity), 9), 6) FROM hourly GROUP BY 1, 2
 UNION ALL
-SELECT city_name, strftime(window_start, '%Y-%m-%d'), 'pressure', round(round(avg(avg_pressure), 9), 6),
+SELECT city_name, strftime(window_start, '%Y-%m-%d'), 'pressure',
+       round(round(avg(avg_pressure), 9), 6),
        round(round(min(avg_pressure), 9), 6), round(round(max(avg_pressure), 9), 6),
        round(round(stddev_samp(avg_pressure), 9), 6) FROM hourly GROUP BY 1, 2
 """)
@@ -263,7 +269,8 @@ def stats_one_metric(spark: SparkSession, data: str) -> DataFrame:
 @query(f"""
 WITH {READINGS}
 SELECT city_name, round(round(avg(temperature), 9), 6) AS avg_temperature,
-       round(round(avg(humidity), 9), 6) AS avg_humidity, round(round(avg(pressure), 9), 6) AS avg_pressure,
+       round(round(avg(humidity), 9), 6) AS avg_humidity,
+       round(round(avg(pressure), 9), 6) AS avg_pressure,
        round(round(avg(wind_speed), 9), 6) AS avg_wind_speed
 FROM readings WHERE measurement_time >= DATE '2024-01-24' GROUP BY 1
 """)
@@ -338,7 +345,8 @@ def trend_points(spark: SparkSession, data: str) -> DataFrame:
 
 @query(f"""
 WITH {LONG_STATS}
-SELECT city_name, strftime(d, '%Y-%m-%d') AS date, metric_type, round(round(avg_value, 9), 6) AS avg_value,
+SELECT city_name, strftime(d, '%Y-%m-%d') AS date, metric_type,
+       round(round(avg_value, 9), 6) AS avg_value,
        round(round(avg(avg_value) OVER (PARTITION BY city_name, metric_type ORDER BY d
              ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 9), 6) AS moving_avg_7day
 FROM daily
@@ -452,7 +460,8 @@ def dashboard_matrix(spark: SparkSession, data: str) -> DataFrame:
 
 @query(f"""
 WITH {LONG_STATS}
-SELECT city_name, metric_type, round(round(avg(avg_value), 9), 6) AS avg_value, min(min_value) AS min_value,
+SELECT city_name, metric_type,
+       round(round(avg(avg_value), 9), 6) AS avg_value, min(min_value) AS min_value,
        max(max_value) AS max_value, round(round(avg(std_dev), 9), 6) AS std_dev
 FROM daily GROUP BY 1, 2
 """)
@@ -460,7 +469,8 @@ def dashboard_profile(spark: SparkSession, data: str) -> DataFrame:
     return rounded(aggregates.metric_profile(_daily_stats(spark, data)), "avg_value", "std_dev")
 
 
-HOURLY_OUT = """city_name, window_start, window_end, round(round(avg_temperature, 9), 6) AS avg_temperature,
+HOURLY_OUT = """city_name, window_start, window_end,
+       round(round(avg_temperature, 9), 6) AS avg_temperature,
        max_temperature, min_temperature, round(round(avg_humidity, 9), 6) AS avg_humidity,
        round(round(avg_pressure, 9), 6) AS avg_pressure"""
 

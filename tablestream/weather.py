@@ -100,7 +100,9 @@ def weather_stats(spark: SparkSession, metric: str, start, end, city: str | None
     return days.orderBy("city_name", "date")
 
 
-def weather_trend(spark: SparkSession, metric: str, days: int, as_of: date, city: str | None = None):
+def weather_trend(
+    spark: SparkSession, metric: str, days: int, as_of: date, city: str | None = None
+):
     """Direction, slope and daily points of one metric per city."""
     if metric not in aggregates.METRICS:
         raise ValueError(f"unknown metric: {metric}")

@@ -52,6 +52,10 @@ def test_edge_cases(spark):
     assert (state, rejected) == replay(target, log)
     assert state == [(1, "A", "new@x"), (2, "b2", None), (3, "c", None), (7, "g", "g@x")]
     assert rejected == [5, 6, 7]
+    sparse = [(k, n, e, seq * 10**12, op) for k, n, e, seq, op in log]
+    for rows in (1, 3, 100):
+        assert applied(spark, target, sparse, rows) == replay(target, sparse)
+    assert applied(spark, target, []) == replay(target, [])
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
