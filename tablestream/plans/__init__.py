@@ -1,7 +1,18 @@
 """The registered queries and their SQL counterparts."""
 
-from tablestream.plans import alerts, changes, quality, sales, storage, streams, weather
+from tablestream.plans import (
+    alerts,
+    changes,
+    quality,
+    sales,
+    service,
+    storage,
+    streams,
+    weather,
+)
 from tablestream.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "alerts", "changes", "quality", "sales", "storage", "streams",
-           "weather"]
+__all__ = [
+    "ORACLES", "QUERIES", "alerts", "changes", "quality", "sales", "service", "storage", "streams",
+    "weather",
+]

@@ -15,10 +15,15 @@ TABLES = [weather.BATCH, weather.STREAMING, weather.HOURLY, weather.ANALYTICS]
 
 @pytest.fixture(autouse=True)
 def clean(spark):
+    _drop(spark)
     yield
+    _drop(spark)
+
+
+def _drop(spark):
     for name in TABLES:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.catalog.dropTempView(name)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def land(folder, day, city, hour, temp, condition="Rain"):
