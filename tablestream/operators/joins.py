@@ -20,7 +20,7 @@ def quantity_by_region_product(sales: DataFrame, products: DataFrame) -> DataFra
     """
     sums = sales.groupBy("region", "product_id").agg(F.sum("quantity").alias("quantity"))
     named = sums.join(products.select("product_id", "product_name"), "product_id")
-    return named.groupBy("region", "product_name").agg(F.sum("quantity").alias("total_quantity"))
+    return named.groupBy("region", "product_name").agg(F.sum("quantity").alias("total_sold"))
 
 
 def order_totals(customers: DataFrame, orders: DataFrame) -> DataFrame:

@@ -169,7 +169,7 @@ def products(spark: SparkSession, data: str) -> DataFrame:
 
 PRODUCT_TOTALS = """
 totals AS (
-  SELECT r_name AS region, p_name AS product_name, sum(l_quantity) AS total_quantity
+  SELECT r_name AS region, p_name AS product_name, sum(l_quantity) AS total_sold
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
   JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
   GROUP BY 1, 2)

@@ -29,13 +29,13 @@ START, END = "1996-01-01", "1999-12-31"
 
 
 @query("""
-SELECT c_mktsegment AS department, round(round(avg(c_acctbal), 9), 6) AS avg_salary
+SELECT c_mktsegment AS department, round(round(avg(c_acctbal), 9), 6) AS average_salary
 FROM customer WHERE c_acctbal > 25 GROUP BY 1
 """)
 def filter_group_avg(spark: SparkSession, data: str) -> DataFrame:
     rows = above(table(spark, data, "customer"), "c_acctbal", 25.0)
-    averages = aggregates.group_average(rows, "c_mktsegment", "c_acctbal", "avg_salary")
-    return rounded(averages.withColumnRenamed("c_mktsegment", "department"), "avg_salary")
+    averages = aggregates.group_average(rows, "c_mktsegment", "c_acctbal", "average_salary")
+    return rounded(averages.withColumnRenamed("c_mktsegment", "department"), "average_salary")
 
 
 @query("""
@@ -50,19 +50,19 @@ def filtered_total(spark: SparkSession, data: str) -> DataFrame:
 @query(f"WITH {PRODUCT_TOTALS} SELECT * FROM totals")
 def sales_by_region_product(spark: SparkSession, data: str) -> DataFrame:
     totals = joins.quantity_by_region_product(sales(spark, data), products(spark, data))
-    return totals.orderBy("region", F.desc("total_quantity"), "product_name")
+    return totals.orderBy("region", F.desc("total_sold"), "product_name")
 
 
 @query(f"""
 WITH {PRODUCT_TOTALS}
-SELECT region, product_name, total_quantity,
-       CAST(row_number() OVER (PARTITION BY region ORDER BY total_quantity DESC, product_name)
+SELECT region, product_name, total_sold,
+       CAST(row_number() OVER (PARTITION BY region ORDER BY total_sold DESC, product_name)
             AS INTEGER) AS rank
 FROM totals QUALIFY rank <= 10
 """)
 def top_products_per_region(spark: SparkSession, data: str) -> DataFrame:
     totals = joins.quantity_by_region_product(sales(spark, data), products(spark, data))
-    order = [F.desc("total_quantity"), F.asc("product_name")]
+    order = [F.desc("total_sold"), F.asc("product_name")]
     return ranking.top_n_per_group(totals, ["region"], order, 10)
 
 

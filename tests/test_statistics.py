@@ -16,8 +16,8 @@ STAFF = [(1, "Alice", 30, "HR", 5000), (2, "Bob", 24, "Finance", 7000),
 
 def test_average_salary_of_the_older(spark):
     staff = spark.createDataFrame(STAFF, EMPLOYEES).filter("age > 25")
-    means = aggregates.group_average(staff, "department", "salary", "avg_salary").collect()
-    assert {r.department: r.avg_salary for r in means} == {
+    means = aggregates.group_average(staff, "department", "salary", "average_salary").collect()
+    assert {r.department: r.average_salary for r in means} == {
         "HR": 5100.0, "IT": 6200.0, "Finance": 8000.0,
     }
 
