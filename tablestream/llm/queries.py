@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablestream.llm import sharding
-from tablestream.llm.common import read
+from tablestream.llm import sharding, toxicity
+from tablestream.llm.common import held_out, read
 from tablestream.llm.registry import query
 
 SHARDS, SHARD_SEED = 8, 17
@@ -65,3 +65,16 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    set_aside = held_out(F.col("doc_id"), 5, 0)
+    labels = read(spark, sf_dir, "labels").filter(~set_aside)
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select(
+        "doc_id", set_aside.alias("held_out"), F.col("toxic_score").alias("score"),
+        (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"),
+        F.size("toxic_spans").cast("long").alias("n_spans"),
+    )
