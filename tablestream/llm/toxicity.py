@@ -215,31 +215,19 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     if len(have) < 2:
         blank.prior = totals[1] / sum(totals.values())
         return blank
-    evidence = np.zeros(NONE + 1, bool)
-
     def documents_with(words: Sentences, y: np.ndarray) -> list[np.ndarray]:
-        counts = [np.zeros(NONE + 1), np.zeros(NONE + 1), np.zeros(2)]
-        text = words.words.text
-        explained = np.zeros(len(y), bool)
-        explained[text[evidence[words.features].any(axis=0)]] = True
-        pairs = np.unique((text[None, :] << (BITS + 1)) | words.features)
-        feature, owner = pairs & ((1 << (BITS + 1)) - 1), pairs >> (BITS + 1)
-        for c, of_class in enumerate((y == 0, (y == 1) & ~explained)):
-            counts[c] = np.bincount(feature[of_class[owner]], minlength=NONE + 1)
-            counts[2][c] = of_class.sum()
-        return counts
-
-    # A second look, at the toxic documents that nothing explains yet, finds rarer evidence.
-    for _ in range(2):
-        clean, toxic, documents = _summed(sample, documents_with)
-        rate = documents[1] / documents.sum()
-        seen = clean + toxic
-        spread = np.sqrt(np.maximum(1e-9, rate * (1 - rate) * seen))
-        # Of 20 documents no more than 20 are toxic: where half are, excess has less room.
-        need = min(EVIDENCE, np.sqrt(12 * (1 - rate) / max(rate, 1e-9)))
-        found = (toxic - rate * seen >= need * spread) & (toxic >= 4) & (clean <= 0.02 * toxic)
-        found[NONE] = False
-        evidence = evidence | found
+        pairs = np.unique((words.words.text[None, :] << (BITS + 1)) | words.features)
+        feature, toxic = pairs & ((1 << (BITS + 1)) - 1), y[pairs >> (BITS + 1)]
+        return [np.bincount(feature[toxic == c], minlength=NONE + 1) for c in (0, 1)]
+
+    clean, toxic = _summed(sample, documents_with)
+    rate = have[1] / sum(have.values())
+    seen = clean + toxic
+    spread = np.sqrt(np.maximum(1e-9, rate * (1 - rate) * seen))
+    # Of 20 documents no more than 20 are toxic: where half are, excess has less room.
+    need = min(EVIDENCE, np.sqrt(12 * (1 - rate) / rate))
+    evidence = (toxic - rate * seen >= need * spread) & (toxic >= 4) & (clean <= 0.02 * toxic)
+    evidence[NONE] = False
 
     def truth(words: Sentences, y: np.ndarray) -> np.ndarray:
         return evidence[words.features].any(axis=0) & (y[words.words.text] == 1)
