@@ -77,6 +77,22 @@ class Words:
     def __len__(self) -> int:
         return len(self.start)
 
+    def shingles(self, hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of each run of ``size`` words and the bounds of each text's runs; a text with
+        fewer words has one run of all of them, one without words has none."""
+        counts = self.counts
+        runs = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
+        bounds = np.concatenate([[0], np.cumsum(runs)])
+        owner = np.repeat(np.arange(self.texts), runs)
+        first = self.bounds[owner] + np.arange(bounds[-1]) - bounds[owner]
+        length = np.minimum(counts[owner], size)
+        out = np.zeros(len(first), np.uint64)
+        for k in range(size):
+            inside = k < length
+            at = np.where(inside, first + k, 0)
+            out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + np.where(inside, hashes[at], 0)) if len(at) else out
+        return out, bounds
+
     @property
     def counts(self) -> np.ndarray:
         return np.diff(self.bounds)

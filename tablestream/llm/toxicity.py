@@ -38,7 +38,7 @@ from tablestream.llm.textarrays import (
 )
 from tablestream.session import cut_lineage
 
-BITS = 19
+BITS = 20
 PREFIXES = (3, 4, 5, 6, 7)
 NONE = 1 << BITS  # the feature of words too short for a prefix; its weight stays 0
 BLOCK = 64
@@ -69,14 +69,16 @@ class Sentences:
         hashes = Hashes(low)
         whole = hashes(words.start, words.end)
         self.whole = whole
-        self.features = np.empty((len(PREFIXES) + 1, len(words)), np.int64)
-        self.features[0] = whole >> np.uint64(64 - BITS)
+        self.codes = np.empty((len(PREFIXES) + 1, len(words)), np.uint64)
+        self.codes[0] = whole
         length = words.end - words.start
         for k, size in enumerate(PREFIXES, 1):
             has = length >= size
             end = np.where(has, words.start + size, words.end)
             part = hashes(words.start, end) * np.uint64(2 * size + 1)
-            self.features[k] = np.where(has, (part >> np.uint64(64 - BITS)).astype(np.int64), NONE)
+            self.codes[k] = np.where(has, part, 0)
+        self.features = (self.codes >> np.uint64(64 - BITS)).astype(np.int64)
+        self.features[self.codes == 0] = NONE
 
 
 def _products(matrices: np.ndarray) -> np.ndarray:
@@ -154,15 +156,18 @@ def marginals(words: Sentences, model: Model) -> np.ndarray:
 
 
 def summary(p: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """What the document score sees of the marginals: expected count, highest, share."""
+    """What the document score sees of the marginals: the expected number of toxic words, and the
+    chance of at least one and of at least two, words taken as independent."""
+    rest = np.minimum(p, 1 - 1e-9)
     total = per_text_sum(p, bounds)
-    highest = per_text(np.maximum, p, bounds, 0.0)
-    return np.stack([np.ones(len(total)), np.log1p(total), highest, total / np.maximum(1, np.diff(bounds))])
+    none = np.exp(per_text_sum(np.log1p(-rest), bounds))
+    one = none * per_text_sum(rest / (1 - rest), bounds)
+    return np.stack([np.ones(len(total)), np.log1p(total), 1 - none, np.clip(1 - none - one, 0, 1)])
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
     """At most ``per_class`` labelled documents of each class: doc_id, text, y. Equal texts and
-    texts with the same smallest word hash count once."""
+    texts with the same smallest hash of three words, mostly near copies, count once."""
     wanted = F.when(F.col(label) > 0, 1).when(F.col(label) <= 0, 0)
     known = labels.select("doc_id", wanted.alias("y")).filter("doc_id IS NOT NULL AND y IS NOT NULL")
     known = known.groupBy("doc_id").agg(F.max("y").alias("y"))
@@ -174,7 +179,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int) ->
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             words = Sentences(part.column("text"))
-            least = per_text(np.minimum, words.whole, words.words.bounds, 0).astype(np.int64)
+            least = per_text(np.minimum, *words.words.shingles(words.whole, 3), 0).astype(np.int64)
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(least)], names=[*part.schema.names, "key"])
 
     sample = sample.mapInArrow(keys, "doc_id long, text string, y int, key long")
@@ -215,22 +220,44 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     if len(have) < 2:
         blank.prior = totals[1] / sum(totals.values())
         return blank
-    def documents_with(words: Sentences, y: np.ndarray) -> list[np.ndarray]:
-        pairs = np.unique((words.words.text[None, :] << (BITS + 1)) | words.features)
-        feature, toxic = pairs & ((1 << (BITS + 1)) - 1), y[pairs >> (BITS + 1)]
-        return [np.bincount(feature[toxic == c], minlength=NONE + 1) for c in (0, 1)]
+    def documents_with(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            words = Sentences(part.column("text"))
+            owner = np.broadcast_to(words.words.text, words.codes.shape).ravel()
+            codes = words.codes.ravel()
+            order = np.lexsort((owner, codes))
+            codes, owner = codes[order], owner[order]
+            new = np.ones(len(codes), bool)
+            new[1:] = (codes[1:] != codes[:-1]) | (owner[1:] != owner[:-1])
+            toxic = part.column("y").to_numpy()[owner[new]]
+            codes, first = np.unique(codes[new], return_index=True)
+            seen = np.diff(np.append(first, len(toxic)))
+            hits = np.add.reduceat(toxic, first) if len(first) else toxic
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(codes.astype(np.int64)), pa.array(hits, pa.int64()), pa.array(seen, pa.int64())],
+                names=["code", "toxic", "seen"],
+            )
 
-    clean, toxic = _summed(sample, documents_with)
     rate = have[1] / sum(have.values())
-    seen = clean + toxic
-    spread = np.sqrt(np.maximum(1e-9, rate * (1 - rate) * seen))
     # Of 20 documents no more than 20 are toxic: where half are, excess has less room.
-    need = min(EVIDENCE, np.sqrt(12 * (1 - rate) / rate))
-    evidence = (toxic - rate * seen >= need * spread) & (toxic >= 4) & (clean <= 0.02 * toxic)
-    evidence[NONE] = False
+    need = min(EVIDENCE, float(np.sqrt(12 * (1 - rate) / rate)))
+    toxic, seen = F.col("toxic"), F.col("seen")
+    evidence = (
+        sample.mapInArrow(documents_with, "code long, toxic long, seen long")
+        .groupBy("code")
+        .agg(F.sum("toxic").alias("toxic"), F.sum("seen").alias("seen"))
+        .filter(
+            (F.col("code") != 0)
+            & (toxic >= 4)
+            & (seen <= 2 * toxic)
+            & (toxic - rate * seen >= need * F.sqrt(rate * (1 - rate) * seen))
+        )
+    )
+    # No more than the features of the sample's toxic documents.
+    evidence = np.array(sorted(row["code"] for row in evidence.collect()), np.int64).view(np.uint64)
 
     def truth(words: Sentences, y: np.ndarray) -> np.ndarray:
-        return evidence[words.features].any(axis=0) & (y[words.words.text] == 1)
+        return np.isin(words.codes, evidence).any(axis=0) & (y[words.words.text] == 1)
 
     model = blank
 
