@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablestream.llm import sharding, toxicity
+from tablestream.llm import minhash, sharding, toxicity
 from tablestream.llm.common import held_out, read
 from tablestream.llm.registry import query
 
@@ -78,3 +78,39 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"),
         F.size("toxic_spans").cast("long").alias("n_spans"),
     )
+
+
+@query(
+    r"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ), sets AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(
+            range(greatest(1, len(w) - 4)), lambda i: array_to_string(w[i + 1:i + 5], ' '))) END AS s
+        FROM words
+    ), members AS (
+        SELECT doc_id, unnest(s) AS sh FROM sets
+    ), pairs AS (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+        FROM members x JOIN members y ON x.sh = y.sh AND x.doc_id < y.doc_id GROUP BY ALL
+    ), links AS (
+        SELECT a, b FROM pairs JOIN sets p ON p.doc_id = a JOIN sets q ON q.doc_id = b
+        WHERE 100 * n >= 75 * (len(p.s) + len(q.s) - n)
+    ), edges AS (
+        SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+    ), reach AS (
+        SELECT doc_id AS a, doc_id AS b FROM sets
+        UNION
+        SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a
+    ), least AS (
+        SELECT a, min(b) AS component_id FROM reach GROUP BY a
+    )
+    SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM sets JOIN least ON a = doc_id
+    """
+)
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"))
