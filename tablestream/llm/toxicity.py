@@ -183,7 +183,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int) ->
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(least)], names=[*part.schema.names, "key"])
 
     sample = sample.mapInArrow(keys, "doc_id long, text string, y int, key long")
-    return cut_lineage(sample.dropDuplicates(["key", "y"]).repartition(SAMPLE_PARTS, "doc_id"))
+    return cut_lineage(sample.dropDuplicates(["key", "y"]).repartition(SAMPLE_PARTS))
 
 
 def _summed(sample: DataFrame, task) -> list[np.ndarray]:
@@ -200,7 +200,7 @@ def _summed(sample: DataFrame, task) -> list[np.ndarray]:
             )
 
     out = None
-    for row in sample.mapInArrow(run, "sums array<binary>").toLocalIterator():
+    for row in sample.mapInArrow(run, "sums array<binary>").collect():  # one per partition
         found = [np.frombuffer(a, np.float32).astype(np.float64) for a in row[0]]
         out = found if out is None else [a + b for a, b in zip(out, found, strict=True)]
     return out
