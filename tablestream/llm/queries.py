@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablestream.llm import minhash, sharding, toxicity
+from tablestream.llm import minhash, repeats, sharding, toxicity
 from tablestream.llm.common import held_out, read
 from tablestream.llm.registry import query
 
@@ -114,3 +114,39 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+    WITH texts AS (
+        SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+    ), starts AS (
+        SELECT doc_id, h, unnest(range(strlen(h) // 2 - 99)) AS p FROM texts WHERE strlen(h) >= 200
+    ), strings AS (
+        SELECT doc_id, p, md5_number(substr(h, 2 * p + 1, 200)) AS s FROM starts
+    ), repeated AS (
+        SELECT doc_id, p FROM (
+            SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM strings)
+        WHERE k > 1
+    ), spans AS (
+        SELECT doc_id, run, min(p) AS a, max(p) + 100 AS b FROM (
+            SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM (
+                SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 100
+                                       THEN 0 ELSE 1 END AS fresh FROM repeated))
+        GROUP BY ALL
+    ), gaps AS (
+        SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS x, a AS y, b, a
+        FROM spans
+    ), kept AS (
+        SELECT g.doc_id, count(*) AS n_spans, sum(b - a) AS n_removed,
+               string_agg(substr(h, 2 * x + 1, 2 * (y - x)), '' ORDER BY a)
+                   || substr(any_value(h), 2 * max(b) + 1) AS rest
+        FROM gaps g JOIN texts USING (doc_id) GROUP BY g.doc_id
+    )
+    SELECT doc_id, strlen(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+           coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(rest, h))) AS kept_sha256
+    FROM texts LEFT JOIN kept USING (doc_id)
+    """
+)
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(read(spark, sf_dir, "documents"), texts=False)
