@@ -25,6 +25,10 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
+def n_words(text: Column) -> Column:
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once per row, however often the body uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)

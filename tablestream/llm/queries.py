@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablestream.llm import minhash, repeats, sharding, toxicity
-from tablestream.llm.common import held_out, read
+from tablestream.llm import minhash, mixing, repeats, sharding, toxicity
+from tablestream.llm.common import held_out, n_words, read
 from tablestream.llm.registry import query
 
 SHARDS, SHARD_SEED = 8, 17
@@ -150,3 +150,12 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(read(spark, sf_dir, "documents"), texts=False)
+
+
+@query()
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", n_words(F.col("text")).alias("size"))
+    return mixing.mix(docs, F.col("size")).select(
+        "doc_id", "size", "source_size", "target",
+        (F.col("copies") * F.col("size")).cast("long").alias("taken"), "rate",
+    )
