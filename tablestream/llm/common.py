@@ -50,21 +50,21 @@ def numbered(df: DataFrame, order: list[Column], name: str) -> tuple[DataFrame,
     placed = cut_lineage(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("_id", F.monotonically_increasing_id())
+        .withColumn("__id", F.monotonically_increasing_id())
     )
-    place = F.shiftright("_id", 33)
-    counts = placed.groupBy(place.alias("_slice")).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    place = F.shiftright("__id", 33)
+    counts = placed.groupBy(place.alias("__slice")).agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     before = cut_lineage(
         counts.select(
-            "_slice", "_n", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+            "__slice", "__n", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__carried")
         )
     )
-    total = before.agg(F.sum("_n")).first()[0] or 0
+    total = before.agg(F.sum("__n")).first()[0] or 0
     rows = (
-        placed.withColumn("_slice", place)
-        .join(F.broadcast(before.drop("_n")), "_slice")
-        .withColumn(name, F.col("_before") + F.col("_id").bitwiseAND((1 << 33) - 1))
+        placed.withColumn("__slice", place)
+        .join(F.broadcast(before.drop("__n")), "__slice")
+        .withColumn(name, F.col("__carried") + F.col("__id").bitwiseAND((1 << 33) - 1))
     )
     return rows.select(*df.columns, name), int(total)
 
@@ -75,18 +75,18 @@ def running(df: DataFrame, order: list[Column], value: str, name: str) -> DataFr
     Spread by range like ``numbered``, so no group is held by one task.
     """
     placed = cut_lineage(
-        df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id())
+        df.repartitionByRange(*order).withColumn("__slice", F.spark_partition_id())
     )
-    totals = placed.groupBy("_slice").agg(F.sum(value).alias("_total"))
-    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select("_slice", F.sum("_total").over(earlier).alias("_before"))
+    totals = placed.groupBy("__slice").agg(F.sum(value).alias("__total"))
+    earlier = Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select("__slice", F.sum("__total").over(earlier).alias("__carried"))
     inside = (
-        Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("__slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     )
     zero = F.lit(0)
     return (
-        placed.withColumn("_inside", F.sum(value).over(inside))
-        .join(F.broadcast(before), "_slice")
-        .withColumn(name, F.coalesce("_inside", zero) + F.coalesce("_before", zero))
+        placed.withColumn("__inside", F.sum(value).over(inside))
+        .join(F.broadcast(before), "__slice")
+        .withColumn(name, F.coalesce("__inside", zero) + F.coalesce("__carried", zero))
         .select(*df.columns, name)
     )

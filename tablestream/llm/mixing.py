@@ -140,10 +140,10 @@ def mix(
     rated = rated.withColumn("rate", rate).withColumn("_parts", F.round(F.col("rate") * PARTS).cast("long"))
     # Large documents first: what rounding one adds or takes the smaller ones after it make good.
     order = [F.col("source").asc_nulls_last(), F.col("size").desc(), F.col("doc_id")]
-    placed = running(rated, order, "_parts", "_before")
-    copies = F.expr(f"(_before + _parts) div {PARTS} - _before div {PARTS}")
+    placed = running(rated, order, "_parts", "_parts_before")
+    copies = F.expr(f"(_parts_before + _parts) div {PARTS} - _parts_before div {PARTS}")
     rounded = placed.withColumn("copies", F.least(copies, F.lit(limit)).cast("int"))
-    return _settled(rounded, limit).drop("_parts", "_before", "mean", "scale", "full")
+    return _settled(rounded, limit).drop("_parts", "_parts_before", "mean", "scale", "full")
 
 
 def _settled(rounded: DataFrame, limit: int) -> DataFrame:
