@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablestream.llm import minhash, mixing, repeats, sharding, toxicity
+from tablestream.llm import minhash, mixing, repeats, rules, sharding, toxicity
 from tablestream.llm.common import held_out, n_words, read
 from tablestream.llm.registry import query
+from tablestream.session import cut_lineage
 
 SHARDS, SHARD_SEED = 8, 17
 
@@ -159,3 +160,14 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target",
         (F.col("copies") * F.col("size")).cast("long").alias("taken"), "rate",
     )
+
+
+@query()
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = cut_lineage(rules.statistics(read(spark, sf_dir, "documents").select("doc_id", "text")))
+    learned = rules.learn(stats, read(spark, sf_dir, "labels"))
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return stats.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        failed.alias("base_failed"), rules.verdict(learned).alias("rule"),
+    ).withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
