@@ -25,6 +25,7 @@ from tablestream.session import cut_lineage
 
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
+BLANKS = " \t\n\x0b\x0c\r"
 UPPER = string.ascii_uppercase + "".join(chr(c) for c in range(0xC0, 0xDF) if c != 0xD7)
 #: Labelled rows that a list is learned from at most, the first by a hash of their id.
 SAMPLE = 50_000
@@ -43,13 +44,16 @@ def _removed(text: Column, characters: str) -> Column:
 def repeat_words(w: Column) -> Column:
     """Words that lie in runs of five words found at least twice.
 
-    The hashes of all runs are sorted with their places; equal neighbours repeat, and each repeated
-    run adds the words up to the next one, five at most. All steps are n log n.
+    Where all runs of a text differ, as in most, that is all. Else the hashes of its runs are sorted
+    with their places; equal neighbours repeat, and each repeated run adds the words up to the next
+    one, five at most. All steps are n log n.
     """
-    runs = F.transform(
-        F.sequence(F.lit(0), F.size(w) - WINDOW),
-        lambda i: F.struct(F.xxhash64(*[F.get(w, i + k) for k in range(WINDOW)]).alias("h"), i.alias("i")),
-    )
+
+    def runs(h: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.size(h) - WINDOW),
+            lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(WINDOW)]),
+        )
 
     def repeated(s: Column) -> Column:
         def same(x: Column, k: Column) -> Column:
@@ -61,12 +65,19 @@ def repeat_words(w: Column) -> Column:
     def covered(p: Column) -> Column:
         return F.aggregate(
             F.transform(p, lambda x, k: F.least(F.lit(WINDOW), F.coalesce(F.get(p, k + 1) - x, F.lit(WINDOW)))),
-            F.lit(0).cast("long"),
+            none,
             lambda total, x: total + x,
         )
 
-    counted = let(F.sort_array(runs), lambda s: let(repeated(s), covered))
-    return F.when(F.size(w) >= WINDOW, counted).otherwise(F.lit(0).cast("long"))
+    def counted(h: Column) -> Column:
+        placed = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), none).otherwise(
+            let(placed, lambda s: let(repeated(s), covered))
+        )
+
+    none = F.lit(0).cast("long")
+    hashed = F.transform(w, lambda x: F.xxhash64(x))
+    return F.when(F.size(w) >= WINDOW, let(let(hashed, runs), counted)).otherwise(none)
 
 
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -78,7 +89,6 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
             words(body),
             lambda w: F.struct(
                 F.size(w).cast("long").alias("n_words"),
-                F.aggregate(w, F.lit(0).cast("long"), lambda s, x: s + F.length(x)).alias("word_chars"),
                 repeat_words(w).alias("n_repeat_words"),
             ),
         ).alias("w"),
@@ -93,10 +103,11 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(
         "doc_id",
         parts.alias("p"),
+        F.length(F.translate(body, BLANKS, "")).cast("long").alias("word_chars"),
         _removed(body, SYMBOLS).alias("n_symbols"),
         _removed(body, UPPER).alias("n_upper"),
         _removed(body, "!").alias("n_bangs"),
-    ).select("doc_id", "p.w.*", "p.l.*", "n_symbols", "n_upper", "n_bangs")
+    ).select("doc_id", "p.w.*", "p.l.*", "word_chars", "n_symbols", "n_upper", "n_bangs")
 
 
 def features() -> dict[str, Column]:
