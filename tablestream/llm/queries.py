@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablestream.llm import minhash, mixing, repeats, rules, sharding, toxicity
+from tablestream.llm import minhash, mixing, repeats, rules, sharding, topk, toxicity
 from tablestream.llm.common import held_out, n_words, read
 from tablestream.llm.registry import query
 from tablestream.session import cut_lineage
@@ -171,3 +171,26 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), rules.verdict(learned).alias("rule"),
     ).withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
+
+
+@query(
+    """
+    WITH whole AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+               list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+        FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+    )
+    SELECT * FROM (
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank,
+               vec_id, score FROM scored)
+    WHERE rank <= 10
+    """
+)
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.nearest(rows, 10, F.col("vec_id") % 100 == 0)
