@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablestream.llm import minhash, mixing, repeats, rules, sharding, topk, toxicity
+from tablestream.llm import licenses, minhash, mixing, repeats, rules, sharding, topk, toxicity
 from tablestream.llm.common import held_out, n_words, read
 from tablestream.llm.registry import query
 from tablestream.session import cut_lineage
@@ -194,3 +194,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk.nearest(rows, 10, F.col("vec_id") % 100 == 0)
+
+
+@query()
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = licenses.scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scanned.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
