@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablestream.llm import licenses, minhash, mixing, repeats, rules, sharding, topk, toxicity
+from tablestream.llm import bpe, licenses, minhash, mixing, repeats, rules, sharding, topk, toxicity
 from tablestream.llm.common import held_out, n_words, read
 from tablestream.llm.registry import query
 from tablestream.session import cut_lineage
@@ -202,3 +203,16 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scanned.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
     )
+
+
+@query()
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN).select("doc_id", "ids")
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(bpe.decoded(F.col("ids"), ranks), 256).alias("decoded_sha256"),
+    )
