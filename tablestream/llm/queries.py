@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablestream.llm import bpe, licenses, minhash, mixing, repeats, rules, sharding, topk, toxicity
+from tablestream.llm import bpe, langmodel, licenses, minhash, mixing, repeats, rules, sharding, topk, toxicity
 from tablestream.llm.common import held_out, n_words, read
 from tablestream.llm.registry import query
 from tablestream.session import cut_lineage
@@ -216,3 +216,8 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
         F.sha2(bpe.decoded(F.col("ids"), ranks), 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langmodel.score_texts(read(spark, sf_dir, "documents").select("doc_id", "text"), 7, 2)
