@@ -1,8 +1,7 @@
 """Documents packed into blocks: rows of a few MB that tasks can work on with flat arrays.
 
-A block holds the ids and the compressed bytes of consecutive rows. Blocks get their number once and
-are dealt by it into a checkpointed table, so that what other tasks find out about a block can be
-joined back to it without moving texts again.
+A block holds the ids and the compressed bytes of consecutive rows. Blocks get their number once, in
+a checkpointed table, so that what other tasks find out about a block can be joined back to it.
 """
 
 from __future__ import annotations
@@ -43,7 +42,7 @@ def pack(docs: DataFrame) -> DataFrame:
     """``block``, ``ids``, ``offsets``, ``data``, ``bytes`` over all rows of doc_id and text."""
     packed = docs.select("doc_id", "text").mapInArrow(_packed, SCHEMA)
     numbered = packed.withColumn("block", F.monotonically_increasing_id())
-    return cut_lineage(numbered.repartition("block"))
+    return cut_lineage(numbered)
 
 
 def opened(row: dict) -> tuple[np.ndarray, np.ndarray]:

@@ -4,12 +4,12 @@ Each text becomes its set of five-word shingles. Minima of 126 permutations give
 three, for candidates, and a signature of the lowest four bits of each minimum, packed into eight
 longs. Texts with equal sets are one class and only its least document goes on.
 
-Documents that share a band key are candidates. Candidates are never expanded into all pairs of a
-bucket: first each document meets one partner, the least document of one of its buckets, chosen by
-the similarity that the bit counts of two signatures show. Links are confirmed on the full sets and
-joined into components. Then only pairs of one bucket that lie in different components remain; they
-are estimated, and confirmed in rounds of the most similar pairs of each two components until no
-pair is open.
+Documents that share a band key are candidates. They are never expanded into all pairs: tasks compare
+the signatures of a bucket by bit counts, in slices of bounded size, and name for each document the
+most similar smaller one. Those links are confirmed on the full sets and joined into components. Then
+only buckets with several components are open. There, pairs of different components that are similar
+by estimate are held against a bound that is exact: a bitmap of each set says how many shingles two
+sets can share at most. The pairs that may reach 0.75 are confirmed, whatever their number.
 
 A pair at the limit of 0.75 shares no band key with probability (1 - 0.75**3)**42 < 2e-10, and its
 estimate is below the cut of 0.55 with probability below 1e-6; both fall fast above the limit.
@@ -25,9 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablestream.llm.common import plain_plans, stored
 from tablestream.llm.graph import components
 from tablestream.llm.textarrays import LOWER, NOT_BLANK, Hashes, Words, flat, mixed, slices
 from tablestream.session import cut_lineage
@@ -40,10 +41,13 @@ LONGS = MINIMA * BITS // 64 + 1
 PERCENT = 75
 #: Candidates with a lower estimated similarity are dropped: five standard deviations below 0.75.
 ESTIMATE_CUT = 0.55
-LIKELY = 0.7
+#: Documents of a bucket whose signatures are compared at once, and rows that share a task.
+SLICE, TASK_ROWS = 1024, 5_000
+#: Bits of the map of a set. Larger sets have fuller maps and looser bounds, never wrong ones.
+MAP_BITS = 1 << 13
 
 _FACTORS = np.random.default_rng(7).integers(0, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_NIBBLE_ENDS = 0x1111111111111111
+_NIBBLE_ENDS = np.uint64(0x1111111111111111)
 
 
 def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -99,8 +103,16 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches, "text"):
         sets, bounds = shingle_sets(part.column("text"))
-        found = [sets[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found, pa.binary())], names=["id", "members"])
+        found, maps = [], []
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            found.append(sets[a:b].tobytes())
+            bits = np.zeros(MAP_BITS, bool)
+            bits[(sets[a:b] >> np.uint64(65 - MAP_BITS.bit_length())).astype(np.int64)] = True
+            maps.append(np.packbits(bits).tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [part.column("doc_id"), pa.array(found, pa.binary()), pa.array(maps, pa.binary())],
+            names=["id", "members", "map"],
+        )
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,24 +128,93 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def estimated(one: Column, two: Column) -> Column:
-    """Similarity from the bits in which two packed signatures differ, corrected for the share of
-    minima whose low bits agree by chance."""
+def estimated(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Similarity of each two packed signatures from the bits in which they differ, corrected for the
+    share of minima whose low bits agree by chance."""
+    bits = one[:, None, :] ^ two[None, :, :]
+    for step in (1, 2):  # any set bit of a field ends up in its lowest
+        bits |= bits >> np.uint64(step)
+    differ = np.bitwise_count(bits & _NIBBLE_ENDS).sum(axis=2, dtype=np.int64)
+    agree, chance = 1 - differ / MINIMA, 2.0**-BITS
+    return (agree - chance) / (1 - chance)
 
-    def differing(x: Column, y: Column) -> Column:
-        bits = x.bitwiseXOR(y)
-        for step in (1, 2):  # any set bit of a field ends up in its lowest
-            bits = bits.bitwiseOR(F.shiftrightunsigned(bits, step))
-        return F.bit_count(bits.bitwiseAND(_NIBBLE_ENDS))
 
-    count = F.aggregate(F.zip_with(one, two, differing), F.lit(0), lambda s, v: s + v)
-    agree, chance = 1 - count / MINIMA, 2.0**-BITS
-    return (agree - chance) / (1 - chance)
+def _possible(ids: np.ndarray, others: np.ndarray, maps: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether pairs can be linked at all: sets share no more shingles than their maps share bits,
+    and as many more as the smaller number of shingles that lost their bit to another."""
+    ones = np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
+    out = np.zeros(len(ids), bool)
+    for low in range(0, len(ids), 8192):
+        x, y = ids[low : low + 8192], others[low : low + 8192]
+        common = np.bitwise_count(maps[x] & maps[y]).sum(axis=1, dtype=np.int64)
+        common += np.minimum(sizes[x] - ones[x], sizes[y] - ones[y])
+        out[low : low + 8192] = 100 * common >= PERCENT * (sizes[x] + sizes[y] - common)
+    return out
+
+
+def _partners(rows: DataFrame, tasks: int, first: bool) -> DataFrame:
+    """Pairs ``a`` < ``b`` in different components, similar by estimate, with ``est``, of each bucket
+    slice: with ``first``, the most similar smaller one of each document, or else all that the maps
+    of their sets allow.
+
+    ``rows``: key, id, i, j, c, packed, map, size; rows with equal key, i and j are compared.
+    """
+
+    def compared(table: pa.Table) -> pa.Table:
+        columns = [table.column(n).to_numpy() for n in ("key", "i", "j", "id", "c", "size")]
+        signed = table.column("packed").combine_chunks()
+        signed = signed.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, LONGS)
+        order = np.lexsort(columns[2::-1])
+        key, i, j, ids, comps, sizes = (x[order] for x in columns)
+        signed = signed[order]
+        if not first:
+            maps = b"".join(table.column("map").to_pylist())
+            maps = np.frombuffer(maps, np.uint64).reshape(-1, MAP_BITS // 64)[order]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        starts = np.append(np.flatnonzero(new), len(key))
+        out: list[tuple] = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+            if b - a < 2:
+                continue
+            for low in range(a, b, 256):
+                mine = slice(low, min(low + 256, b))
+                est = estimated(signed[mine], signed[a:b])
+                smaller = ids[None, a:b] < ids[mine, None]
+                est[~smaller | (comps[mine, None] == comps[None, a:b])] = -1.0
+                if first:
+                    place = est.argmax(axis=1)
+                    line = np.flatnonzero(est[np.arange(len(est)), place] >= ESTIMATE_CUT)
+                    place = place[line]
+                else:
+                    line, place = np.nonzero(est >= ESTIMATE_CUT)
+                    may = _possible(low + line, a + place, maps, sizes)
+                    line, place = line[may], place[may]
+                out.append((ids[a + place], ids[low + line], est[line, place]))
+        return pa.table([np.concatenate(x) for x in zip(*out, strict=True)], names=["a", "b", "est"])
+
+    task = F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)).alias("task")
+    return rows.groupBy(task).applyInArrow(compared, "a long, b long, est double")
+
+
+def _merged(labels: DataFrame, tried: DataFrame) -> DataFrame:
+    """Labels (id, c) after the confirmed links among ``tried``."""
+    links = tried.filter("linked")
+    for end in ("a", "b"):
+        links = links.join(labels.select(F.col("id").alias(end), F.col("c").alias(f"c{end}")), end)
+    found = components(links.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    found = found.select(F.col("id").alias("c"), F.col("component").alias("to"))
+    return stored(labels.join(found, "c", "left").select("id", F.coalesce("to", "c").alias("c")))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` (least document reachable over links of at
     least 75 % common shingles) and ``kept`` (is that document) for each row of ``docs``."""
+    with plain_plans(docs.sparkSession):
+        return _near_duplicates(docs)
+
+
+def _near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     signed = cut_lineage(
         docs.mapInArrow(
@@ -149,71 +230,50 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = cut_lineage(reps.select(F.col("rep").alias("id"), "bands", "packed"))
 
     bands = reps.select("id", F.explode("bands").alias("key"))
-    shared = bands.groupBy("key").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("n"))
-    shared = cut_lineage(shared.filter("n > 1").drop("n"))
+    shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    shared = cut_lineage(shared.filter("n > 1"))
     members = cut_lineage(bands.join(shared, "key"))
-    involved = members.select("id").distinct()
-    signatures = cut_lineage(reps.select("id", "packed").join(involved, "id", "left_semi"))
+    labels = stored(members.select("id").distinct().withColumn("c", F.col("id")))
+    signatures = cut_lineage(reps.select("id", "packed").join(labels, "id", "left_semi"))
     chosen = docs.join(signatures.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    sets = cut_lineage(chosen.mapInArrow(_sets, "id long, members binary").dropDuplicates(["id"]))
+    sets = chosen.mapInArrow(_sets, "id long, members binary, map binary").dropDuplicates(["id"])
+    sets = cut_lineage(sets)
+    tasks = max(16, members.count() // TASK_ROWS)
 
-    def side(name: str, value: str, table: DataFrame) -> DataFrame:
-        return table.select(F.col("id").alias(name), F.col(table.columns[1]).alias(value))
+    def side(name: str, value: str) -> DataFrame:
+        return sets.select(F.col("id").alias(name), F.col("members").alias(value))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        full = pairs.select("a", "b").join(side("a", "x", sets), "a").join(side("b", "y", sets), "b")
-        return cut_lineage(full.mapInArrow(_confirmed, "a long, b long, linked boolean"))
-
-    first = members.filter("id != pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    first = first.join(side("a", "p", signatures), "a").join(side("b", "q", signatures), "b")
-    first = first.withColumn("est", estimated(F.col("p"), F.col("q"))).filter(F.col("est") >= ESTIMATE_CUT)
-    # The least partner that is likely similar, or else the most similar one.
-    rank = F.struct(
-        (F.col("est") < LIKELY).alias("unlikely"),
-        F.when(F.col("est") < LIKELY, -F.col("est")).alias("distance"),
-        F.col("a"),
+        full = pairs.select("a", "b").join(side("a", "x"), "a").join(side("b", "y"), "b")
+        return stored(full.mapInArrow(_confirmed, "a long, b long, linked boolean"))
+
+    # Large buckets are cut: first each slice is compared with itself, later with every other.
+    cuts = F.ceil(F.col("n") / SLICE).cast("int")
+    own = F.pmod(F.xxhash64("id"), cuts).cast("int")
+    none = F.lit(None).cast("binary").alias("map"), F.lit(0).cast("long").alias("size")
+    alone = members.join(signatures, "id").select(
+        "key", "id", own.alias("i"), own.alias("j"), F.col("id").alias("c"), "packed", *none
     )
-    first = first.groupBy("b").agg(F.min(rank)["a"].alias("a"))
-    tried = confirmed(first)
-    links = tried.filter("linked").select("a", "b")
-    found = cut_lineage(components(links))
+    near = _partners(alone, tasks, True)
+    best = near.groupBy("b").agg(F.max(F.struct("est", (-F.col("a")).alias("minus")))["minus"].alias("minus"))
+    tried = confirmed(best.select((-F.col("minus")).alias("a"), "b"))
+    labels = _merged(labels, tried)
 
-    # Open pairs: of one bucket, in different components, similar by estimate.
-    def placed(table: DataFrame, of: str, name: str) -> DataFrame:
-        labels = found.select(F.col("id").alias(of), F.col("component").alias("_c"))
-        return table.join(labels, of, "left").withColumn(name, F.coalesce("_c", of)).drop("_c")
-
-    labelled = placed(members.select("key", "id"), "id", "c")
-    mixed_keys = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-    mixed_keys = cut_lineage(mixed_keys.filter("lo != hi").select("key"))
-    still = labelled.join(mixed_keys, "key").join(signatures, "id")
-    still = cut_lineage(still.select("key", "id", "c", "packed"))
-    one, two = still.alias("one"), still.alias("two")
-    similar = estimated(F.col("one.packed"), F.col("two.packed"))
-    met = one.join(
-        two,
-        (F.col("one.key") == F.col("two.key"))
-        & (F.col("one.c") < F.col("two.c"))
-        & (similar >= ESTIMATE_CUT),
+    placed = members.join(labels, "id")
+    mixed_keys = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+    mixed_keys = stored(mixed_keys.filter("lo != hi").select("key"))
+    maps = sets.select("id", "map", (F.octet_length("members") / 8).cast("long").alias("size"))
+    still = placed.join(mixed_keys, "key").join(signatures, "id").join(maps, "id")
+    other = F.explode(F.sequence(F.lit(0), cuts - 1))
+    still = still.select("key", "id", "c", "packed", "map", "size", own.alias("s"), other.alias("t")).select(
+        "key", "id", F.least("s", "t").alias("i"), F.greatest("s", "t").alias("j"), "c", "packed", "map", "size"
     )
-    opened = met.select(
-        F.least("one.id", "two.id").alias("a"), F.greatest("one.id", "two.id").alias("b"), similar.alias("est")
-    ).distinct()
-    opened = cut_lineage(opened.join(tried.select("a", "b"), ["a", "b"], "left_anti"))
-    width = 4
-    while True:
-        # The most similar open pairs of each two components, more in each round.
-        here = placed(placed(opened, "a", "ca"), "b", "cb").filter("ca != cb")
-        here = here.withColumn("lo", F.least("ca", "cb")).withColumn("hi", F.greatest("ca", "cb"))
-        order = Window.partitionBy("lo", "hi").orderBy(F.desc("est"), "a", "b")
-        opened = cut_lineage(here.withColumn("place", F.row_number().over(order)).select("a", "b", "est", "place"))
-        if opened.isEmpty():
-            break
-        now = confirmed(opened.filter(F.col("place") <= width))
-        opened = opened.filter(F.col("place") > width).select("a", "b", "est")
-        links = links.unionByName(now.filter("linked").select("a", "b"))
-        found = cut_lineage(components(links))
-        width *= 8
+    rest = _partners(still, tasks, False).select("a", "b").distinct()
+    labels = _merged(labels, confirmed(rest.join(tried.select("a", "b"), ["a", "b"], "left_anti")))
+
+    def placed(table: DataFrame, of: str, name: str) -> DataFrame:
+        found = labels.select(F.col("id").alias(of), F.col("c").alias("_c"))
+        return table.join(found, of, "left").withColumn(name, F.coalesce("_c", of)).drop("_c")
 
     of_class = able.select("doc_id", *key).join(classes, key).select("doc_id", "n_shingles", "rep")
     linked = placed(of_class, "rep", "component_id").select("doc_id", "n_shingles", "component_id")
