@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablestream.session import cut_lineage
+from tablestream.session import cut_lineage, run_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -40,6 +42,26 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     return crc % modulus == remainder
 
 
+@contextmanager
+def plain_plans(spark: SparkSession) -> Iterator[None]:
+    """Loops over checkpoints, whose plans would otherwise gather the constraints of every round."""
+    name = "spark.sql.constraintPropagation.enabled"
+    before = spark.conf.get(name, "true")
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows as a table in the shared folder. For loops: the size of a table that was read is
+    its own, while estimates carried through checkpoints multiply from join to join."""
+    path = run_dir(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def numbered(df: DataFrame, order: list[Column], name: str) -> tuple[DataFrame, int]:
     """Row numbers from 0 over the whole table, and the number of rows.
 

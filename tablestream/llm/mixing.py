@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablestream.llm.common import numbered, running
+from tablestream.llm.common import numbered, plain_plans, running, stored
 from tablestream.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)
@@ -74,7 +74,7 @@ def tilts(counts: DataFrame, goals: DataFrame, limit: int = LIMIT) -> DataFrame:
     documents = filled.groupBy("source").agg(F.sum("n").alias("documents"))
     joined = goals.join(documents, goals["source"].eqNullSafe(documents["source"])).drop(documents["source"])
     # Targets in mean sizes; the rates at 0 add up to the number of documents.
-    state = cut_lineage(
+    state = stored(
         joined.select(
             "source", mean.alias("mean"), (F.col("target") / mean).alias("goal"),
             (F.col("target") >= F.col("source_size") * limit).alias("full"),
@@ -82,7 +82,7 @@ def tilts(counts: DataFrame, goals: DataFrame, limit: int = LIMIT) -> DataFrame:
             F.lit(None).cast("double").alias("high"), F.lit(False).alias("done"),
         )
     )
-    filled = cut_lineage(filled.select(F.col("source").alias("of"), "size", "n"))
+    filled = stored(filled.select(F.col("source").alias("of"), "size", "n"))
     for _ in range(STEPS):
         z, scale = F.col("size") / F.col("mean"), F.col("scale")
         rate = _rate(scale, z, limit)
@@ -107,7 +107,7 @@ def tilts(counts: DataFrame, goals: DataFrame, limit: int = LIMIT) -> DataFrame:
         step = F.when((F.col("slope") > 0) & inside & (F.abs(newton - scale) < 4), newton).otherwise(wide)
         met = F.abs(F.col("value") - F.col("goal")) <= EXACT * F.col("goal")
         open_ = F.col("value").isNotNull()
-        state = cut_lineage(
+        state = stored(
             now.select(
                 "source", "mean", "goal", "full",
                 F.when(open_ & ~met, step).otherwise(scale).alias("scale"),
@@ -126,6 +126,11 @@ def mix(
 ) -> DataFrame:
     """Add ``size``, ``source_size``, ``target``, ``rate`` and ``copies`` to rows of doc_id and
     source. The number of sources is that of a dimension; their tables are joined, never gathered."""
+    with plain_plans(docs.sparkSession):
+        return _mix(docs, size, weights, limit)
+
+
+def _mix(docs: DataFrame, size: Column, weights: tuple[int, ...], limit: int) -> DataFrame:
     sized = docs.withColumn("size", size.cast("long")).drop("source_size", "target", "rate", "copies")
     narrow = cut_lineage(sized)
     goals = targets(narrow, weights, limit)

@@ -186,24 +186,25 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int) ->
     return cut_lineage(sample.dropDuplicates(["key", "y"]).repartition(SAMPLE_PARTS))
 
 
-def _summed(sample: DataFrame, task) -> list[np.ndarray]:
-    """Run ``task`` (Sentences, labels -> arrays) over the sample and add up its arrays."""
+def _gradients(sample: DataFrame, task) -> tuple[np.ndarray, np.ndarray]:
+    """Run ``task`` (Sentences, labels -> gradient by feature, gradient of the chain) over the sample
+    and add up. Only features with a gradient travel."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
+        weights, chain = np.zeros(NONE + 1), np.zeros(5)
         for part in slices(batches, "text"):
             found = task(Sentences(part.column("text")), part.column("y").to_numpy())
-            total = found if total is None else [a + b for a, b in zip(total, found, strict=True)]
-        if total is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([[np.ascontiguousarray(a, np.float32).tobytes() for a in total]])], names=["sums"]
-            )
+            weights += found[0]
+            chain += found[1]
+        at = np.flatnonzero(weights).astype(np.int32)
+        parts = [at.tobytes(), weights[at].astype(np.float32).tobytes(), chain.tobytes()]
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in parts], names=["at", "by", "chain"])
 
-    out = None
-    for row in sample.mapInArrow(run, "sums array<binary>").collect():  # one per partition
-        found = [np.frombuffer(a, np.float32).astype(np.float64) for a in row[0]]
-        out = found if out is None else [a + b for a, b in zip(out, found, strict=True)]
-    return out
+    weights, chain = np.zeros(NONE + 1), np.zeros(5)
+    for row in sample.mapInArrow(run, "at binary, by binary, chain binary").collect():  # one a partition
+        weights[np.frombuffer(row["at"], np.int32)] += np.frombuffer(row["by"], np.float32)
+        chain += np.frombuffer(row["chain"])
+    return weights, chain
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = SAMPLE_PER_CLASS) -> Model:
@@ -273,7 +274,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
             both = forward * backward
             p = both[1] / both.sum(axis=0)
             error = tag - p
-            active = np.abs(error) > 1e-4
+            active = np.abs(error) > 1e-3
             for row in words.features[:, active]:
                 d_weights += np.bincount(row, error[active], NONE + 1)
             d_chain[4] = error.sum()
@@ -287,7 +288,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     squares = [np.full(NONE + 1, 1e-6), np.full(5, 1e-6)]
     model.bias = -3.0
     for _ in range(STEPS):
-        grads = _summed(sample, gradient)
+        grads = list(_gradients(sample, gradient))
         grads[0] -= 0.05 * model.weights
         grads[0][NONE] = 0
         grads[1] -= 0.05 * np.append(model.chain.ravel(), model.bias)
