@@ -275,7 +275,7 @@ def score_texts(docs: DataFrame, modulus: int, remainder: int) -> DataFrame:
     def train(crc: np.ndarray) -> np.ndarray:
         return crc % modulus != remainder
 
-    blocks = pack(docs)
+    blocks = pack(docs.select("doc_id", "text"))
     total = blocks.agg(F.sum("bytes")).first()[0] or 0
     count = int(max(LEAST_BUCKETS, total // BUCKET_BYTES))
     sent = blocks.mapInArrow(

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tablestream.llm.common import numbered, plain_plans, running, stored
 from tablestream.session import cut_lineage
 
+NEW = ("size", "source_size", "target", "rate", "copies")
 WEIGHTS = (5, 2, 1)
 LIMIT = 3
 STEPS = 40
@@ -131,8 +132,9 @@ def mix(
 
 
 def _mix(docs: DataFrame, size: Column, weights: tuple[int, ...], limit: int) -> DataFrame:
-    sized = docs.withColumn("size", size.cast("long")).drop("source_size", "target", "rate", "copies")
-    narrow = cut_lineage(sized)
+    kept = [c for c in docs.columns if c not in NEW]
+    whole = F.struct(*kept).alias("__row")
+    narrow = cut_lineage(docs.select(whole, "doc_id", "source", size.cast("long").alias("size")))
     goals = targets(narrow, weights, limit)
     counts = narrow.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
     found = tilts(counts, goals, limit)
@@ -148,7 +150,7 @@ def _mix(docs: DataFrame, size: Column, weights: tuple[int, ...], limit: int) ->
     placed = running(rated, order, "_parts", "_parts_before")
     copies = F.expr(f"(_parts_before + _parts) div {PARTS} - _parts_before div {PARTS}")
     rounded = placed.withColumn("copies", F.least(copies, F.lit(limit)).cast("int"))
-    return _settled(rounded, limit).drop("_parts", "_parts_before", "mean", "scale", "full")
+    return _settled(rounded, limit).select(*[F.col("__row")[c].alias(c) for c in kept], *NEW)
 
 
 def _settled(rounded: DataFrame, limit: int) -> DataFrame:

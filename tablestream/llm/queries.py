@@ -151,7 +151,8 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.without_repeats(read(spark, sf_dir, "documents"), texts=False)
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.without_repeats(docs, texts=False)
 
 
 @query()

@@ -86,8 +86,10 @@ def shard_rows(
 
     Law: shard sizes in rows differ by at most one, and slots have no gaps. The order must end in
     a unique column for rows that differ; rows equal in all columns are interchangeable. Rows with
-    null keys come first in the order; an empty table stays empty.
+    null keys come first in the order; an empty table stays empty. Columns of the input named like
+    new ones are replaced, so the order can't use them.
     """
+    df = df.drop("row_number", "position", "shard", "slot")
     rows, total = numbered(df, order, "row_number")
     position = permuted(F.col("row_number"), total, seed) if total else F.lit(0).cast("long")
     return (
