@@ -55,7 +55,7 @@ def cut_by_hand(rows, length=100):
                 gone[i : i + length] = b"\1" * length
             seen.add(s)
         kept = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
-        spans = len(re.findall(rb"\1+", bytes(gone)))
+        spans = len(re.findall(rb"\x01+", bytes(gone)))
         out[d] = (len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest())
     return out
 
