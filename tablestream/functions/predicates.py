@@ -15,6 +15,10 @@ def _moment(df: DataFrame, column: str, value: str | date | datetime) -> Column:
     return F.lit(str(value)).cast(df.schema[column].dataType)
 
 
+def _has_time(value: str | date | datetime) -> bool:
+    return isinstance(value, datetime) or (isinstance(value, str) and ":" in value)
+
+
 def above(df: DataFrame, column: str, limit: float) -> DataFrame:
     return df.filter(F.col(column) > limit)
 
@@ -35,12 +39,13 @@ def not_in(df: DataFrame, column: str, values: list) -> DataFrame:
 def date_range(df: DataFrame, column: str, start=None, end=None) -> DataFrame:
     """Both bounds are inclusive and optional.
 
-    On a timestamp column the end day is included in full; the filter stays on the bare column.
+    On a timestamp column an end without a time of day includes the whole day, one with a time ends
+    there; the filter stays on the bare column.
     """
     if start is not None:
         df = df.filter(F.col(column) >= _moment(df, column, start))
     if end is not None:
-        if df.schema[column].dataType.typeName() == "date":
+        if df.schema[column].dataType.typeName() == "date" or _has_time(end):
             df = df.filter(F.col(column) <= _moment(df, column, end))
         else:
             limit = _moment(df, column, end) + F.expr("INTERVAL 1 DAY")

@@ -6,6 +6,7 @@ the table being read.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,11 +16,22 @@ def _existence_after(op: Column) -> Column:
     return F.when(op == "I", True).when(op == "D", False)
 
 
-def _width(changes: DataFrame, seq: str, block_rows: int) -> int:
-    """Numbers per block, whether ``seq`` counts rows or, say, microseconds."""
-    low, high, rows = changes.agg(F.min(seq), F.max(seq), F.count(F.lit(1))).first()
+def _blocked(changes: DataFrame, seq: str, block_rows: int) -> DataFrame:
+    """Cut the log by quantiles of ``seq`` into blocks of about ``block_rows`` changes, however its
+    numbers are spread. A sample is enough: borders decide how even the work is, no result."""
+    rows = changes.count()
     blocks = -(-rows // block_rows)
-    return max(1, -(-(high - low + 1) // blocks)) if blocks else 1
+    if blocks <= 1:
+        return changes.withColumn("_block", F.lit(0.0))
+    cuts = F.percentile_approx(
+        F.col(seq).cast("double"), [i / blocks for i in range(1, blocks)], F.lit(100 * blocks)
+    )
+    share = min(1.0, 1000 * blocks / rows)
+    found = changes.sample(share, seed=0).agg(cuts).first()[0] or []
+    splits = [float("-inf"), *sorted(set(map(float, found))), float("inf")]
+    at = changes.withColumn("_seq", F.col(seq).cast("double"))
+    cut = Bucketizer(splits=splits, inputCol="_seq", outputCol="_block", handleInvalid="keep")
+    return cut.transform(at).drop("_seq")
 
 
 def _with_existence(
@@ -31,16 +43,16 @@ def _with_existence(
     ``block_rows`` changes; the last insert or delete of a key in each is carried into the next.
     """
     turn = _existence_after(F.col("op"))
-    marked = changes.withColumn("_block", F.floor(F.col(seq) / _width(changes, seq, block_rows)))
+    marked = _blocked(changes, seq, block_rows)
     blocks = marked.groupBy(key, "_block").agg(
         F.max_by(turn, F.when(turn.isNotNull(), F.col(seq))).alias("_last")
     )
     earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    known = target.select(key, F.lit(True).alias("_known"))
+    known = target.select(F.col(key).alias("_key"), F.lit(True).alias("_known"))
     carried = (
         blocks.withColumn("_carried", F.last("_last", ignorenulls=True).over(earlier))
-        .join(known, key, "left")
-        .select(key, "_block", "_carried", "_known")
+        .join(known, F.col(key).eqNullSafe(F.col("_key")), "left")
+        .select(F.col(key).alias("_of"), F.col("_block").alias("_in"), "_carried", "_known")
     )
     before = (
         Window.partitionBy(key, "_block").orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
@@ -52,9 +64,11 @@ def _with_existence(
         F.lit(False),
     )
     return (
-        marked.join(carried, [key, "_block"])
+        marked.join(
+            carried, F.col(key).eqNullSafe(F.col("_of")) & (F.col("_block") == F.col("_in"))
+        )
         .withColumn("_exists", state)
-        .drop("_block", "_carried", "_known")
+        .drop("_block", "_carried", "_known", "_of", "_in")
     )
 
 
@@ -65,7 +79,7 @@ def apply_changes(
 
     ``changes`` has the columns of the target, ``seq`` and ``op`` (I, U or D). A NULL field of an
     update leaves the old value. Returns the new state and the changes that found no row to act
-    on (or, for an insert, found one), with a ``reason``.
+    on (or, for an insert, found one), with a ``reason``. NULL is a key like any other.
     """
     fields = [name for name in target.columns if name != key]
     marked = _with_existence(target, changes, key, seq, block_rows)
@@ -82,16 +96,18 @@ def apply_changes(
         for f in fields
     ]
     last_turn = F.max_by(turn, F.when(turn.isNotNull(), F.col(seq))).alias("_exists")
-    merged = marked.filter(applies).groupBy(key).agg(last_turn, *newest)
+    merged = marked.filter(applies).groupBy(F.col(key).alias("_key")).agg(last_turn, *newest)
 
     def value(f: str) -> Column:
         new = F.col(f"_new_{f}")
         kept = F.when(new.isNotNull(), new["value"]).otherwise(F.col(f))
         return kept.alias(f)
 
+    old = target.withColumn("_old", F.lit(True))
     state = (
-        target.join(merged, key, "full_outer")
+        old.join(merged, F.col(key).eqNullSafe(F.col("_key")), "full_outer")
         .filter(F.coalesce("_exists", F.lit(True)))
+        .withColumn(key, F.when(F.col("_old"), F.col(key)).otherwise(F.col("_key")))
         .select(key, *[value(f) for f in fields])
         .select(*target.columns)
     )

@@ -7,9 +7,14 @@ tasks follow independently across all periods:
 
 1. per (key, slice), where does a chain leave the slice if it enters a cell (one slice of one
    period) at its first event;
-2. per key, walk the cells from the first one. Cells are bounded by time span and slice count,
-   not by the number of rows;
-3. per (key, slice), emit the events of the entered cells.
+2. per (key, stretch of periods), where can a chain leave the stretch. Chains soon meet, so these are
+   few, about one for each slice at most;
+3. per (key, stretch), what becomes of a chain that arrives from each of those places;
+4. per key, walk from stretch to stretch;
+5. per (key, stretch), walk the cells from the one entered;
+6. per (key, slice), emit the events of the entered cells.
+
+A task holds the rows of a slice, the cells of a stretch, or the arrivals of a key's stretches.
 """
 
 from __future__ import annotations
@@ -22,11 +27,12 @@ from pyspark.sql import functions as F
 
 from tablestream.session import cut_lineage
 
-_MAX_SLICES = 10_000
+#: Cells of one stretch at most, as periods times slices.
+STRETCH_CELLS = 1_000_000
 
 
-def _steps(period: int, slices: int, keys: list[str]):
-    """The per-group functions of the three steps. They are closures over plain values, so they
+def _steps(period: int, slices: int, stretch: int, keys: list[str]):
+    """The per-group functions of the steps. They are closures over plain values, so they
     travel to executors that do not have this package."""
 
     def follow(times: np.ndarray, part: int):
@@ -51,14 +57,56 @@ def _steps(period: int, slices: int, keys: list[str]):
         out = {k: [group[k].iloc[0]] * len(entered) for k in keys}
         return pd.DataFrame({**out, "_cell": entered, "_leave": leaves[successor[first]]})
 
-    def walking(group: pd.DataFrame) -> pd.DataFrame:
+    def left_by(cells: np.ndarray, leaves: np.ndarray) -> np.ndarray:
+        """For sorted cells of a stretch: where a chain that enters by each leaves the stretch."""
+        following = np.searchsorted(cells, leaves, side="left")
+        onward = np.where(following < len(cells), following, np.arange(len(cells)))
+        while True:
+            further = onward[onward]
+            if np.array_equal(further, onward):
+                return leaves[onward]
+            onward = further
+
+    def crossing(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("_cell")
+        left = np.unique(left_by(group["_cell"].to_numpy(), group["_leave"].to_numpy()))
+        out = {k: [group[k].iloc[0]] * len(left) for k in keys}
+        return pd.DataFrame({**out, "_stretch": left // stretch, "_from": left})
+
+    def arriving(group: pd.DataFrame, arrivals: pd.DataFrame) -> pd.DataFrame:
+        names = [*keys, "_stretch", "_from", "_cell", "_leave"]
+        if not len(group):
+            return pd.DataFrame({n: arrivals[n] if n in arrivals else arrivals["_from"] for n in names})[:0]
+        group = group.sort_values("_cell")
+        cells, start = group["_cell"].to_numpy(), group["_stretch"].iloc[0] * stretch
+        left = left_by(cells, group["_leave"].to_numpy())
+        source = np.unique(np.append(arrivals["_from"].to_numpy(), start))
+        at = np.searchsorted(cells, source, side="left")
+        source, at = source[at < len(cells)], at[at < len(cells)]
+        out = group.iloc[at][[*keys, "_stretch", "_cell"]].copy()
+        out["_from"], out["_leave"] = source, left[at]
+        return out[names]
+
+    def entering(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("_from")
+        source, leaves = group["_from"].to_numpy(), group["_leave"].to_numpy()
+        entered, at = [], 0
+        while at < len(source):
+            entered.append(at)
+            # Where nothing follows in its stretch, the chain goes on by the first cell of the next.
+            at = int(np.searchsorted(source, leaves[at], side="left"))
+        return group.iloc[entered][[*keys, "_stretch", "_cell"]]
+
+    def walking(group: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("_cell")
         cells = group["_cell"].to_numpy()
         following = np.searchsorted(cells, group["_leave"].to_numpy(), side="left").tolist()
-        visited, at = [], 0
-        while at < len(following):
-            visited.append(at)
-            at = following[at]
+        visited = []
+        for first in entry["_cell"]:
+            at = int(np.searchsorted(cells, first, side="left"))
+            while at < len(following):
+                visited.append(at)
+                at = following[at]
         return group.iloc[visited][[*keys, "_cell"]]
 
     def emitting(group: pd.DataFrame, entered: pd.DataFrame) -> pd.DataFrame:
@@ -76,14 +124,14 @@ def _steps(period: int, slices: int, keys: list[str]):
                 at = successor[at]
         return group.loc[sent, [*keys, "_us", "_tie"]]
 
-    return leaving, walking, emitting
+    return leaving, crossing, arriving, entering, walking, emitting
 
 
 def _slices_for(times: DataFrame, keys: list[str], slice_rows: int) -> int:
     """Slices so that the largest key has about ``slice_rows`` rows in each."""
     per_key = times.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     largest = per_key.agg(F.max("n")).first()[0] or 0
-    return max(1, min(_MAX_SLICES, -(-largest // slice_rows)))
+    return max(1, -(-largest // slice_rows))
 
 
 def _borders(times: DataFrame, slices: int) -> list[float]:
@@ -108,6 +156,7 @@ def cooldown(
     slices: int | None = None,
     last_sent: DataFrame | None = None,
     slice_rows: int = 1_000_000,
+    stretch_cells: int = STRETCH_CELLS,
 ) -> DataFrame:
     """The rows that are emitted when each one silences its key for ``seconds``.
 
@@ -145,11 +194,27 @@ def cooldown(
 
     ddl = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     tie_type = df.schema[tie].dataType.simpleString()
-    leave, walk, emit = _steps(period, slices, keys)
+    stretch = max(1, stretch_cells // slices) * slices
+    leave, cross, arrive, enter, walk, emit = _steps(period, slices, stretch, keys)
     leaving = sliced.groupBy(*keys, "_part").applyInPandas(
         leave, f"{ddl}, _cell long, _leave long"
     )
-    entered = leaving.groupBy(*keys).applyInPandas(walk, f"{ddl}, _cell long")
+    leaving = leaving.withColumn("_stretch", F.floor(F.col("_cell") / stretch))
+    leaving = cut_lineage(leaving)
+    crossed = leaving.groupBy(*keys, "_stretch").applyInPandas(
+        cross, f"{ddl}, _stretch long, _from long"
+    )
+    moves = (
+        leaving.groupBy(*keys, "_stretch")
+        .cogroup(crossed.groupBy(*keys, "_stretch"))
+        .applyInPandas(arrive, f"{ddl}, _stretch long, _from long, _cell long, _leave long")
+    )
+    entries = moves.groupBy(*keys).applyInPandas(enter, f"{ddl}, _stretch long, _cell long")
+    entered = (
+        leaving.groupBy(*keys, "_stretch")
+        .cogroup(entries.groupBy(*keys, "_stretch"))
+        .applyInPandas(walk, f"{ddl}, _cell long")
+    )
     entered = entered.withColumn("_part", F.pmod("_cell", F.lit(slices)).cast("int"))
     sent = (
         sliced.groupBy(*keys, "_part")

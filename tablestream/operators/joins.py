@@ -7,11 +7,19 @@ adaptive execution splits the skewed partitions of the others.
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def matching(df: DataFrame, other: DataFrame, names: list[str]) -> DataFrame:
+    """The rows that agree with some row of ``other`` in all the columns; NULL agrees with NULL."""
+    found = other.select(*[F.col(name).alias(f"_m_{name}") for name in names])
+    same = [F.col(name).eqNullSafe(F.col(f"_m_{name}")) for name in names]
+    return df.join(found, reduce(lambda a, b: a & b, same), "left_semi")
+
+
 def quantity_by_region_product(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Quantity sold by region and product name.
 

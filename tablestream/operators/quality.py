@@ -5,10 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablestream.session import cut_lineage
+
 # Plausible range per field.
 RANGES = {
     "temperature": (-50.0, 60.0),
@@ -180,7 +183,7 @@ def quality_report(
     """Status per table and, in the row named ``overall``, the worst of them.
 
     An absent table is NOT_FOUND and does not change the overall status; one that cannot be
-    analysed (a field is gone) is ERROR and fails it.
+    analysed (a field is gone, its files can't be read) is ERROR and fails it.
     """
     parts = None
     for name, table in tables.items():
@@ -188,8 +191,9 @@ def quality_report(
             part = _note(spark, name, "NOT_FOUND", 0)
         else:
             try:
-                part = _table_severity(name, table, keys, key, as_of, days)
-            except AnalysisException:
+                # One row, counted here, so that errors of the run count as well.
+                part = cut_lineage(_table_severity(name, table, keys, key, as_of, days))
+            except (PySparkException, Py4JJavaError):
                 part = _note(spark, name, "ERROR", 2)
         parts = part if parts is None else parts.unionByName(part)
     whole = F.grouping("table") == 1

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablestream.functions.predicates import date_range
+from tablestream.operators.joins import matching
 from tablestream.operators.ordered import number_rows
 
 
@@ -18,12 +19,12 @@ def newest_per_key(df: DataFrame, keys: list[str], ts: str, tie: str) -> DataFra
     """The newest row of each key, the one with the largest ``tie`` among equals.
 
     The newest times are a hash aggregate over narrow columns; only rows of that time are compared
-    in full.
+    in full. NULL is a key like any other; without any time, a key's rows are all of the newest.
     """
     newest = df.groupBy(*keys).agg(F.max(ts).alias(ts))
     rest = [name for name in df.columns if name not in keys]
     row = F.max_by(F.struct(*rest), tie).alias("_row")
-    latest = df.join(newest, [*keys, ts], "left_semi").groupBy(*keys).agg(row)
+    latest = matching(df, newest, [*keys, ts]).groupBy(*keys).agg(row)
     return latest.select(*keys, "_row.*").select(*df.columns)
 
 

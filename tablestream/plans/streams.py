@@ -17,9 +17,32 @@ from tablestream.sources.readers import decode_json
 from tablestream.streaming import pipelines, sinks, windows
 
 
+FILES = 3
+_written: dict[tuple[str, str], str] = {}
+
+
+def _in_files(spark: SparkSession, data: str) -> str:
+    """The events in several files, written one after the other in the order of ts, so that every
+    stream takes several batches and carries state from one to the next."""
+    known = (spark.sparkContext.applicationId, data)
+    if known not in _written:
+        rows = table(spark, data, "events")
+        cuts = [i / FILES for i in range(1, FILES)]
+        borders = rows.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), cuts)).first()[0]
+        folder = run_dir(spark, "events")
+        micros = F.unix_micros(F.col("ts").cast("timestamp"))
+        for low, high in zip([None, *borders], [*borders, None], strict=True):
+            part = rows if low is None else rows.filter(micros >= low)
+            part = part if high is None else part.filter(micros < high)
+            part.coalesce(1).write.mode("append").parquet(folder)
+        _written[known] = folder
+    return _written[known]
+
+
 def _events(spark: SparkSession, data: str) -> DataFrame:
     """Watermarks need timestamps with a zone."""
-    stream = pipelines.table_stream(use_utc(spark), f"{data}/events.parquet")
+    folder = _in_files(use_utc(spark), data)
+    stream = pipelines.table_stream(spark, folder, files_per_batch=1)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

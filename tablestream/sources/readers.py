@@ -70,21 +70,38 @@ def read_landing(
     root: str,
     date: str | None = None,
     schema: StructType | str = RAW_WEATHER,
-    multi_line: bool = True,
 ) -> DataFrame:
-    """JSON drops below ``root/<date>/``, all days or one. Writers indent their files, so one
-    document may span lines."""
-    return read_json(spark, f"{root}/{date or '*'}/*.json", schema, multi_line)
+    """JSON drops below ``root/<date>/`` or ``root/date=<date>/``, all days or one.
+
+    The form of a file follows from its writer: part files, as ``to_landing`` writes them, hold a
+    document per line, all others one document that may span lines.
+    """
+    days = f"{{{date},date={date}}}" if date else "*"
+
+    def found(names: str, multi_line: bool) -> DataFrame:
+        reader = spark.read.schema(schema).option("multiLine", multi_line)
+        return reader.option("pathGlobFilter", names).json(f"{root}/{days}")
+
+    others = "{[!p]*,p[!a]*,pa[!r]*,par[!t]*,part[!-]*}.json"
+    return found(others, True).unionByName(found("part-*.json", False))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def decode_json(messages: DataFrame, schema: StructType | str, value: str = "value") -> DataFrame:
-    """Message bytes or text to typed columns; a message that is not JSON gives NULL columns."""
+def decode_json(
+    messages: DataFrame, schema: StructType | str, value: str = "value", metadata: Iterable[str] = ()
+) -> DataFrame:
+    """Message bytes or text to typed columns; a message that is not JSON gives NULL columns.
+
+    ``metadata`` names columns of the broker (key, timestamp, offset, ...) to keep, each as
+    ``message_<name>``.
+    """
     parsed = F.from_json(F.col(value).cast("string"), schema)
-    return messages.select(parsed.alias("_message")).select("_message.*")
+    kept = [F.col(name).alias(f"message_{name}") for name in metadata]
+    names = [f"message_{name}" for name in metadata]
+    return messages.select(*kept, parsed.alias("_message")).select(*names, "_message.*")
 
 
 def read_event_stream(
@@ -93,8 +110,9 @@ def read_event_stream(
     source: str = "kafka",
     starting: str = "latest",
     options: Mapping[str, str] | None = None,
+    metadata: Iterable[str] = (),
 ) -> DataFrame:
-    """JSON messages as a stream of typed rows.
+    """JSON messages as a stream of typed rows, with ``metadata`` of the broker where named.
 
     ``source`` is ``kafka`` (with ``kafka.bootstrap.servers`` and ``subscribe`` among the
     options) or any stream source with a ``value`` column, such as ``text``.
@@ -102,7 +120,7 @@ def read_event_stream(
     reader = spark.readStream.format(source).options(**dict(options or {}))
     if source == "kafka":
         reader = reader.option("startingOffsets", starting)
-    return decode_json(reader.load(), schema)
+    return decode_json(reader.load(), schema, metadata=metadata)
 
 
 def read_avro_stream(

@@ -22,7 +22,8 @@ def table_stream(spark: SparkSession, path: str, files_per_batch: int | None = N
     reader = spark.readStream.schema(schema)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(f"{path}*")
+    # The file source wants a folder or a pattern; this one matches the path alone.
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def live_alerts(

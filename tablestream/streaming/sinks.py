@@ -8,12 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tablestream.operators.joins import matching
 from tablestream.sources.writers import TEXT_TIMES, write_jdbc
 
 
-def _start(df: DataFrame, checkpoint: str, available: bool, mode: str = "append"):
+# Fixed value: time between batches to a relational table.
+JDBC_INTERVAL = "1000 milliseconds"
+
+
+def _start(
+    df: DataFrame, checkpoint: str, available: bool, mode: str = "append", interval: str | None = None
+):
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True) if available else writer
+    if available:
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=interval) if interval else writer
 
 
 def to_files(
@@ -64,16 +73,22 @@ def to_batches(
     checkpoint: str,
     mode: str = "append",
     available: bool = False,
+    interval: str | None = None,
 ) -> StreamingQuery:
-    """Hand every micro-batch to ``write``, which must give the same result when repeated."""
-    return _start(df, checkpoint, available, mode).foreachBatch(write).start()
+    """Hand every micro-batch to ``write``, which must give the same result when repeated.
+
+    ``interval`` (``JDBC_INTERVAL`` for a relational table) is the time between batches."""
+    return _start(df, checkpoint, available, mode, interval).foreachBatch(write).start()
 
 
 def to_complete_table(df: DataFrame, path: str, checkpoint: str, available: bool = False):
-    """Complete mode: the table is the whole result after each batch."""
+    """Complete mode: the table is the whole result after each batch. A batch counts once its mark
+    is written, so a reader never sees a part of one."""
 
     def replace(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        mark = batch.sparkSession.range(batch_id, batch_id + 1, numPartitions=1)
+        mark.toDF("batch").write.mode("overwrite").parquet(f"{path}/_done/batch-{batch_id}")
 
     return to_batches(df, replace, checkpoint, "complete", available)
 
@@ -90,12 +105,12 @@ def to_update_log(df: DataFrame, path: str, checkpoint: str, available: bool = F
 def read_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     log = spark.read.parquet(path)
     newest = log.groupBy(*keys).agg(F.max("batch").alias("batch"))
-    return log.join(newest, [*keys, "batch"], "left_semi").drop("batch")
+    return matching(log, newest, [*keys, "batch"]).drop("batch")
 
 
 def read_complete(spark: SparkSession, path: str) -> DataFrame:
-    table = spark.read.parquet(path)
-    return table.filter(F.col("batch") == table.agg(F.max("batch")).scalar()).drop("batch")
+    done = spark.read.parquet(f"{path}/_done/*").agg(F.max("batch")).first()[0]
+    return spark.read.parquet(f"{path}/batch={done}")
 
 
 def fan_out(

@@ -60,6 +60,16 @@ def test_a_hot_key_is_split_without_changing_the_result(spark):
     assert emitted(cooldown(df, ["key"], "t", "id", slice_rows=500)) == want
 
 
+def test_stretches_of_time_do_not_change_the_result(spark):
+    rows = [("a", (i * 7919) % 400_000, i) for i in range(1500)]
+    rows += [("b", 100_000 * i + 17, 5000 + i) for i in range(20)]
+    df = frame(spark, rows).persist()
+    want = expected(rows)
+    for slices, cells in ((1, 1), (3, 5), (7, 40), (60, 60)):
+        got = cooldown(df, ["key"], "t", "id", slices=slices, stretch_cells=cells)
+        assert emitted(got) == want
+
+
 def test_events_close_to_one_offset_are_split_too(spark):
     rows = [("hot", 3600 * (i % 50) + (i * 13) % 100 / 1000, i) for i in range(3000)]
     df = frame(spark, rows).persist()
@@ -85,7 +95,7 @@ def test_empty_input(spark):
 def test_steps_need_no_package_on_executors():
     from pyspark import cloudpickle
 
-    steps = cloudpickle.dumps(_steps(3_600_000_000, 1, ["key"]))
+    steps = cloudpickle.dumps(_steps(3_600_000_000, 1, 1, ["key"]))
     load = "import sys, pyspark.cloudpickle as c; c.loads(bytes.fromhex(sys.stdin.read()))"
     done = subprocess.run(
         [sys.executable, "-c", load], input=steps.hex(), text=True, cwd="/", capture_output=True
