@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablestream.functions.columns import money, total_money, unit_of
@@ -49,8 +49,9 @@ def strong_months(df: DataFrame, day: str, amount: str) -> DataFrame:
     months = df.groupBy(F.year(day).alias("year"), F.month(day).alias("month")).agg(
         F.sum(money(F.col(amount))).alias("revenue")
     )
-    mean = months.agg(F.avg("revenue")).scalar()
-    return months.filter(F.col("revenue") >= mean).select(
+    # One row a month: the mean over all of them is a window over a calendar, in the same pass.
+    months = months.withColumn("_mean", F.avg("revenue").over(Window.partitionBy()))
+    return months.filter(F.col("revenue") >= F.col("_mean")).select(
         "year", "month", F.col("revenue").cast("double").alias("monthly_revenue")
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablestream import weather
-from tablestream.operators import aggregates
+from tablestream.operators import aggregates, ranking
 from tablestream.plans.fixtures import plain, readings, rounded, text
 from tablestream.plans.registry import query
 from tablestream.plans.weather import LONG_STATS, READINGS
@@ -173,3 +173,60 @@ FROM batch WHERE CAST(measurement_time AS DATE) = DATE '2024-01-30'
 def current_weather(spark: SparkSession, data: str) -> DataFrame:
     rows = readings(spark, data).select("city_name", "event_id", "measurement_time", "temperature")
     return weather.current_weather(rows, date(2024, 1, 30), "event_id")
+
+
+@query(f"""
+WITH {BATCH},
+daily AS (
+  SELECT city_name, CAST(measurement_time AS DATE) AS d, avg(temperature) AS v FROM batch
+  WHERE measurement_time >= TIMESTAMP '2024-01-01 00:00:00' GROUP BY 1, 2),
+weeks AS (
+  SELECT *, avg(v) OVER (PARTITION BY city_name ORDER BY d
+                         ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS a,
+         avg(v) OVER (PARTITION BY city_name ORDER BY d
+                      ROWS BETWEEN 13 PRECEDING AND 7 PRECEDING) AS b
+  FROM daily)
+SELECT city_name, strftime(d, '%Y-%m-%d') AS date, round(round(v, 9), 6) AS avg_temp,
+       round(round(a, 9), 6) AS temp_7day_moving_avg,
+       CASE WHEN a > b THEN 'increasing' WHEN a < b THEN 'decreasing' ELSE 'stable' END AS temp_trend
+FROM weeks
+""")
+def report_trends(spark: SparkSession, data: str) -> DataFrame:
+    _tables(spark, data)
+    weather.create_report_views(spark, datetime(2024, 1, 31))
+    rows = spark.table("weather_trends_view").select(
+        "city_name", "date", "avg_temp", "temp_7day_moving_avg", "temp_trend"
+    )
+    return text(rounded(rows, "avg_temp", "temp_7day_moving_avg"), "date")
+
+
+@query(f"""
+WITH {BATCH}
+SELECT city_name, measurement_time, temperature, humidity, wind_speed, pressure,
+       CASE WHEN temperature > 35 THEN 'HIGH_TEMPERATURE' WHEN temperature < 5 THEN
+            'LOW_TEMPERATURE' WHEN wind_speed > 15 THEN 'HIGH_WIND' ELSE 'HIGH_HUMIDITY' END
+         AS alert_type,
+       CASE WHEN temperature > 38 OR temperature < 0 OR wind_speed > 20 THEN 'critical'
+            ELSE 'warning' END AS alert_level
+FROM batch
+WHERE measurement_time >= TIMESTAMP '2024-01-29 12:00:00'
+  AND (temperature > 35 OR temperature < 5 OR wind_speed > 15 OR humidity > 90)
+""")
+def report_alerts(spark: SparkSession, data: str) -> DataFrame:
+    _tables(spark, data)
+    weather.create_report_views(spark, datetime(2024, 1, 30, 12))
+    return spark.table("weather_alerts_view")
+
+
+NULLED = "CASE WHEN event_id % 7 <> 0 THEN city_name END"
+
+
+@query(f"""
+WITH {READINGS}, odd AS (SELECT * REPLACE ({NULLED} AS city_name) FROM readings)
+SELECT city_name, event_id, measurement_time, temperature FROM odd
+QUALIFY row_number() OVER (PARTITION BY city_name ORDER BY measurement_time DESC, event_id DESC) = 1
+""")
+def newest_with_null_keys(spark: SparkSession, data: str) -> DataFrame:
+    odd = readings(spark, data).withColumn("city_name", F.expr(NULLED))
+    rows = ranking.newest_per_key(odd, ["city_name"], "measurement_time", "event_id")
+    return rows.select("city_name", "event_id", "measurement_time", "temperature")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablestream.functions.predicates import date_range, last
@@ -192,6 +192,53 @@ def current_weather(batch: DataFrame, as_of: date, tie: str) -> DataFrame:
     return ranking.rank_newest(today, "city_name", "measurement_time", tie)
 
 
+def create_report_views(spark: SparkSession, as_of: datetime) -> list[str]:
+    """Register the five report views over the batch and the hourly table, each a plan that runs
+    when it is read; returns the names of those whose table exists."""
+
+    def current() -> DataFrame:
+        today = date_range(spark.table(BATCH), "measurement_time", as_of.date(), as_of.date())
+        newest = Window.partitionBy("city_name").orderBy(F.desc("measurement_time"))
+        return today.withColumn("row_num", F.row_number().over(newest))
+
+    def daily() -> DataFrame:
+        return aggregates.daily_summary(spark.table(BATCH), as_of.date(), 30)
+
+    def trends() -> DataFrame:
+        means = ["avg_temp", "avg_humidity", "avg_pressure", "avg_wind_speed"]
+        days = daily().select("city_name", "date", *means)
+        weeks = series.week_over_week(days, "city_name", "date", "avg_temp")
+        return weeks.select(
+            "city_name", "date", *means, F.col("moving_avg").alias("temp_7day_moving_avg"),
+            F.col("trend").alias("temp_trend"),
+        )
+
+    def warned() -> DataFrame:
+        recent = last(spark.table(BATCH), "measurement_time", 24, "HOURS", as_of)
+        found = alerts.first_alert(recent, critical=alerts.VIEW_LEVELS)
+        return found.select(
+            "city_name", "alert_type", "alert_level", "temperature", "humidity", "wind_speed",
+            "pressure", "measurement_time",
+        )
+
+    def realtime() -> DataFrame:
+        return aggregates.recent_windows(spark.table(HOURLY), as_of, 3)
+
+    views = {
+        "current_weather_view": (BATCH, current),
+        "daily_weather_view": (BATCH, daily),
+        "weather_trends_view": (BATCH, trends),
+        "weather_alerts_view": (BATCH, warned),
+        "realtime_weather_view": (HOURLY, realtime),
+    }
+    made = []
+    for name, (table, build) in views.items():
+        if spark.catalog.tableExists(table):
+            build().createOrReplaceTempView(name)
+            made.append(name)
+    return made
+
+
 def create_views(spark: SparkSession, as_of) -> list[str]:
     """Register the dashboard views for which a table exists; returns their names."""
     views = {

@@ -133,3 +133,24 @@ def test_versions_of_a_key_never_overlap(spark, states):
 def test_add_rows(spark):
     one = spark.createDataFrame([(1, datetime(2024, 1, 1))], "id long, t timestamp")
     assert changes.add_rows(one, one).count() == 2
+
+
+def test_null_keys_are_keys(spark):
+    target = spark.createDataFrame([(None, 5), (1, 6)], "id long, v long")
+    log = spark.createDataFrame(
+        [(1, "U", None, 7), (2, "U", 3, 8), (3, "D", 1, None), (4, "I", None, 9)],
+        "seq long, op string, id long, v long",
+    )
+    state, rejected = changes.apply_changes(target, log, "id", "seq")
+    assert [tuple(r) for r in state.collect()] == [(None, 7)]
+    assert sorted((r.seq, r.reason) for r in rejected.collect()) == [(2, "missing"), (4, "exists")]
+
+
+def test_one_far_number_does_not_put_the_log_into_one_block(spark):
+    rows = [(k, "U", k % 5, k) for k in range(1000)] + [(10**15, "D", 1, None)]
+    log = spark.createDataFrame(rows, "seq long, op string, id long, v long")
+    blocks = changes._blocked(log, "seq", 100).groupBy("_block").count().collect()
+    assert len(blocks) >= 8 and max(r["count"] for r in blocks) <= 300
+    target = spark.createDataFrame([(k, 0) for k in range(5)], "id long, v long")
+    state, _ = changes.apply_changes(target, log, "id", "seq", block_rows=100)
+    assert sorted(tuple(r) for r in state.collect()) == [(0, 995), (2, 997), (3, 998), (4, 999)]

@@ -166,3 +166,28 @@ def test_all_schemas_parse(spark):
     assert len(names) > 15
     for name in names:
         assert spark.createDataFrame([], getattr(schemas, name)).columns
+
+
+def test_landing_reads_both_forms(spark, tmp_path):
+    schema = "city string, n long, date string"
+    spark.createDataFrame([("a", 1), ("b", 2)], "city string, n long").coalesce(1).write.json(
+        str(tmp_path / "date=2024-01-02")
+    )
+    (tmp_path / "2024-01-02").mkdir()
+    (tmp_path / "2024-01-02" / "paris.json").write_text('{\n "city": "c",\n "n": 3\n}')
+    found = readers.read_landing(spark, str(tmp_path), "2024-01-02", schema)
+    assert sorted((r.city, r.n) for r in found.collect()) == [("a", 1), ("b", 2), ("c", 3)]
+
+
+def test_messages_keep_what_the_broker_says(spark):
+    messages = spark.createDataFrame([('{"n": 1}', 7), ("broken", 8)], "value string, offset long")
+    found = readers.decode_json(messages, "n long", metadata=["offset"]).collect()
+    assert [tuple(r) for r in found] == [(7, 1), (8, None)]
+
+
+def test_an_end_with_a_time_ends_there(spark):
+    from tablestream.functions.predicates import date_range
+
+    rows = spark.sql("SELECT explode(sequence(TIMESTAMP'2024-01-01', TIMESTAMP'2024-01-03', INTERVAL 6 HOUR)) AS t")
+    assert date_range(rows, "t", "2024-01-01", "2024-01-02").count() == 8
+    assert date_range(rows, "t", "2024-01-01", "2024-01-02 06:00:00").count() == 6
