@@ -73,3 +73,15 @@ def roundtrip_parquet(spark: SparkSession, data: str) -> DataFrame:
     events = table(spark, data, "events").drop("props")
     writers.write_parquet(events, path)
     return plain(readers.read_parquet(spark, path), "ts")
+
+
+@query("""
+SELECT event_id, event_type, value, user_id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-10'
+""")
+def landing_day(spark: SparkSession, data: str) -> DataFrame:
+    root = run_dir(spark, "landing-day")
+    dated = table(spark, data, "events").withColumn("date", F.to_date("ts").cast("string"))
+    writers.layout(dated.drop("ts", "props"), ["date"], []).write.partitionBy("date").json(root)
+    schema = "event_id long, event_type string, value double, user_id long"
+    rows = readers.read_landing(spark, root, "2024-01-10", schema)
+    return rows.select("event_id", "event_type", "value", "user_id")

@@ -42,6 +42,9 @@ def live_alerts(
     every key last emitted. Alerts and times are written per batch, and a repeated batch replaces
     its own files, so a restart neither loses nor doubles an alert. ``publish`` also gets each
     batch of written alerts, at least once, for a topic or another table.
+
+    A reading that comes in a later batch but is older than its key's last alert counts as within
+    the silence; only readings within one batch are put in order.
     """
 
     def emit(batch: DataFrame, batch_id: int) -> None:
