@@ -48,6 +48,9 @@ SAMPLE_PARTS = 12
 STEPS = 14
 #: Standard deviations above the expected number of toxic documents that make a feature evidence.
 EVIDENCE = 5.9
+TIMES = 8
+#: Marginal from which a word counts in the score of its document.
+SUSPECT = 0.25
 
 
 @dataclass
@@ -158,8 +161,9 @@ def marginals(words: Sentences, model: Model) -> np.ndarray:
 def summary(p: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """What the document score sees of the marginals: the expected number of toxic words, and the
     chance of at least one and of at least two, words taken as independent."""
-    rest = np.minimum(p, 1 - 1e-9)
-    total = per_text_sum(p, bounds)
+    # Words that are hardly suspect don't add up, however long the text.
+    rest = np.where(p >= SUSPECT, np.minimum(p, 1 - 1e-9), 0.0)
+    total = per_text_sum(rest, bounds)
     none = np.exp(per_text_sum(np.log1p(-rest), bounds))
     one = none * per_text_sum(rest / (1 - rest), bounds)
     return np.stack([np.ones(len(total)), np.log1p(total), 1 - none, np.clip(1 - none - one, 0, 1)])
@@ -240,8 +244,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
             )
 
     rate = have[1] / sum(have.values())
-    # Of 20 documents no more than 20 are toxic: where half are, excess has less room.
-    need = min(EVIDENCE, float(np.sqrt(12 * (1 - rate) / rate)))
+    # A feature of toxic documents alone must be in four of them, or in one of forty; any must be
+    # several times as frequent in toxic documents as in others.
+    least = max(4, have[1] / 40)
+    need = min(EVIDENCE, float(np.sqrt(least * (1 - rate) / rate)))
     toxic, seen = F.col("toxic"), F.col("seen")
     evidence = (
         sample.mapInArrow(documents_with, "code long, toxic long, seen long")
@@ -250,7 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
         .filter(
             (F.col("code") != 0)
             & (toxic >= 4)
-            & (seen <= 2 * toxic)
+            & (toxic * have[0] >= TIMES * (seen - toxic) * have[1])
             & (toxic - rate * seen >= need * F.sqrt(rate * (1 - rate) * seen))
         )
     )
