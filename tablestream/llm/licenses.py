@@ -6,7 +6,8 @@ the file and in the template; the share of a template that its best chain covers
 
 The templates are a fixed, short list, so automaton and lookup tables have a fixed size and travel
 with the task. A word outside all templates ends every match, so only runs of known words are
-streamed word by word; everything else is done on whole batches.
+streamed word by word; everything else is done on whole batches. Chains go on over such words, as
+edited notices have them.
 
 Cases: null and empty texts have no words and no labels. Ties between templates of equal coverage
 give all their labels. Columns of the input named like new ones are replaced.
@@ -153,33 +154,48 @@ class Scanner:
         at = np.minimum(np.searchsorted(self.codes, hashes), len(self.codes) - 1)
         return np.where(self.codes[at] == hashes, self.numbers[at], -1)
 
-    def chains(self, words: list[int], first: int) -> list[tuple[int, int, int, int]]:
-        """Template, covered words, first and last place in the file, of the best chain of each
-        template over one run of known words that begins at place ``first``."""
+    def matches(self, words: list[int], first: int) -> Iterator[tuple[int, int, int, int]]:
+        """Template, last place in the file and in the template, and length of each long match in one
+        run of known words that begins at place ``first``."""
         stats = self.automaton.statistics(words)
-        found: dict[int, list[tuple[int, int, int]]] = {}
         for k, (state, length) in enumerate(stats):
             # A match is over where the next word doesn't make it longer.
             if length >= LONG and (k + 1 == len(stats) or stats[k + 1][1] <= length):
                 for number, end in self.automaton.ends[state].items():
-                    found.setdefault(number, []).append((k, end, length))
-        out = []
+                    yield number, first + k, end, length
+
+    def _best(self, number: int, matches: list[tuple[int, int, int]]) -> tuple[int, int, int]:
+        """Covered words, first and last place in the file, of the best chain."""
+        reach = GAP * self.lengths[number]
+        best: list[tuple[int, int, int, int]] = []  # covered, start, end in file, end in template
+        for k, end, length in matches:
+            top = (length, k - length + 1)
+            for covered, start, before, place in reversed(best):
+                if k - before > reach:
+                    break  # too far apart to be one notice
+                # What both have of the template counts once; chains go forward in both.
+                fresh = min(length, end - place, k - before)
+                if fresh > 0:
+                    top = max(top, (covered + fresh, start))
+            best.append((*top, k, end))
+        # Of equals the shortest; of those one in the middle, so that few steps part many copies.
+        middle = (len(best) - 1) / 2
+        at = max(range(len(best)), key=lambda i: (best[i][0], best[i][1] - best[i][2], -abs(i - middle)))
+        return best[at][:3]
+
+    def chains(self, found: dict[int, list[tuple[int, int, int]]]) -> Iterator[tuple[int, int, int, int]]:
+        """Template, covered words, first and last place in the file, of the best chain of each
+        template over the matches of a whole text, and of further ones before and after a chain
+        that covers enough."""
         for number, matches in found.items():
-            reach = GAP * self.lengths[number]
-            best: list[tuple[int, int, int, int]] = []  # covered, start, end in file, end in template
-            for k, end, length in matches:
-                top = (length, first + k - length + 1, first + k, end)
-                for covered, start, before, place in reversed(best):
-                    if first + k - before > reach:
-                        break  # too far apart to be one notice
-                    # What both have of the template counts once; chains go forward in both.
-                    fresh = min(length, end - place, first + k - before)
-                    if fresh > 0 and covered + fresh > top[0]:
-                        top = (covered + fresh, start, first + k, end)
-                best.append(top)
-            covered, start, end, _ = max(best)
-            out.append((number, covered, start, end))
-        return out
+            parts = [matches]
+            while parts:
+                part = parts.pop()
+                covered, start, end = self._best(number, part)
+                yield number, covered, start, end
+                if covered / self.lengths[number] >= COVERED:
+                    sides = [m for m in part if m[0] < start], [m for m in part if m[0] - m[2] >= end]
+                    parts.extend(side for side in sides if side)
 
 
 def scan(docs: DataFrame, text: str = "text", templates: list[tuple[str, str]] | None = None) -> DataFrame:
@@ -224,24 +240,29 @@ def scan(docs: DataFrame, text: str = "text", templates: list[tuple[str, str]] |
             begin, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
             spans: list[list[dict]] = [[] for _ in range(n)]
             score = np.zeros(n)
+            found: dict[int, dict[int, list[tuple[int, int, int]]]] = {}
             for a, b in zip(begin.tolist(), end.tolist(), strict=True):
                 if b - a < LONG:
                     continue
-                t = int(words.text[a])
-                for which, covered, start, stop in scanner.chains(number[a:b].tolist(), int(place[a])):
+                own = found.setdefault(int(words.text[a]), {})
+                for which, *match in scanner.matches(number[a:b].tolist(), int(place[a])):
+                    own.setdefault(which, []).append(tuple(match))
+            for t, own in found.items():
+                for which, covered, start, stop in scanner.chains(own):
                     share = covered / scanner.lengths[which]
                     score[t] = max(score[t], share)
                     if share >= COVERED:
                         spans[t].append(
                             {"label": scanner.labels[which], "start": start, "end": stop + 1, "score": share}
                         )
+                spans[t].sort(key=lambda s: (s["start"], s["end"]))
             some = last >= 0
-            found = [sorted(own) for own in labels]
+            base_labels = [sorted(own) for own in labels]
             both = [sorted(own | {s["label"] for s in more}) for own, more in zip(labels, spans, strict=True)]
             new = [
                 pa.array(words.counts), pa.array(per_text_sum(base, words.bounds)),
                 pa.array(first, mask=~some), pa.array(last, mask=~some),
-                pa.array([",".join(own) for own in found]), pa.array([",".join(own) for own in both]),
+                pa.array([",".join(own) for own in base_labels]), pa.array([",".join(own) for own in both]),
                 pa.array(np.minimum(1.0, score)), pa.array(spans, kind),
             ]
             yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, *NAMES])

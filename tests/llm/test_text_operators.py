@@ -148,6 +148,26 @@ def test_licences(edge_docs, edge_rows):
         assert 0 <= r.score <= 1
 
 
+def scanned(spark, texts):
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return [r for _, r in sorted((r.doc_id, r) for r in rows)]
+
+
+def test_edited_licences(spark):
+    words = dict(licenses.TEMPLATES)["mit"].split()
+    marked = "\n".join("REM " + " ".join(words[k : k + 8]) for k in range(0, len(words), 8))
+    foreign = " ".join([*words[:17], "zebra", *words[17:34], "giraffe", *words[34:]])
+    far = " ".join([*words[:17], *["zebra"] * 200, *words[17:34], *["zebra"] * 200, *words[34:]])
+    copies = " zebra ".join([" ".join(words)] * 9 + [foreign])
+    found = scanned(spark, [marked, foreign, far, copies])
+    for r in found[:2]:
+        assert (r.labels, [(s.label, s.end) for s in r.spans]) == ("mit", [("mit", r.n_words)])
+        assert r.score == r.spans[0].score > 0.9
+    assert (found[2].labels, found[2].spans) == ("", [])
+    spans = [(s.start, s.end) for s in found[3].spans]
+    assert len(spans) == 10 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_matching_statistics_match_brute_force():
     sequences = [[1, 2, 3, 1, 2, 4], [2, 3, 5], [1, 1, 1]]
     automaton = licenses.SuffixAutomaton(sequences)
