@@ -3,6 +3,7 @@
 The automaton holds every run of words of every template. Streaming the words of a file gives, at
 each word, the longest run ending there that some template has. Long matches are chained by place in
 the file and in the template; the share of a template that its best chain covers scores the file.
+Only chains count that hold words which tell the template from other licences.
 
 The templates are a fixed, short list, so automaton and lookup tables have a fixed size and travel
 with the task. A word outside all templates ends every match, so only runs of known words are
@@ -52,6 +53,9 @@ TEMPLATES = [
 ]
 # Phrases that label a file wherever their words stand.
 PHRASES = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
+# Words that name a licence. The rest of a template that has some also stands in notices
+# of other licences.
+NAMING = ["mit", "apache", "gnu", "general public license", "nc", "noncommercial", "mozilla"]
 
 #: Shortest match, in words, that a chain takes up, and the share of a template that labels a file.
 LONG = 3
@@ -147,6 +151,10 @@ class Scanner:
         number = {w: k for k, w in enumerate(known)}
         self.lengths = [len(t) for t in texts]
         self.automaton = SuffixAutomaton([[number[w] for w in t] for t in texts])
+        naming = [split(text) for text in NAMING]
+        self.named = [
+            [(k, k + len(n)) for n in naming for k in range(len(t)) if t[k : k + len(n)] == n] for t in texts
+        ]
         self.phrases = [np.array([number[w] for w in p]) for p in phrases]
 
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
@@ -154,36 +162,52 @@ class Scanner:
         at = np.minimum(np.searchsorted(self.codes, hashes), len(self.codes) - 1)
         return np.where(self.codes[at] == hashes, self.numbers[at], -1)
 
-    def matches(self, words: list[int], first: int) -> Iterator[tuple[int, int, int, int]]:
-        """Template, last place in the file and in the template, and length of each long match in one
-        run of known words that begins at place ``first``."""
+    def _tells(self, state: int, number: int, end: int, length: int) -> bool:
+        """Whether a match tells a template from others: it has words that name the licence or, in a
+        template without such words, it stands in templates of one label only."""
+        if self.named[number]:
+            return any(end - length < a and b <= end + 1 for a, b in self.named[number])
+        return len({self.labels[other] for other in self.automaton.ends[state]}) == 1
+
+    def matches(self, words: list[int], first: int) -> Iterator[tuple[int, int, int, int, bool]]:
+        """Template, last place in the file and in the template, length, and whether it tells the
+        template from others, of each long match in one run of known words that begins at place
+        ``first``."""
         stats = self.automaton.statistics(words)
         for k, (state, length) in enumerate(stats):
             # A match is over where the next word doesn't make it longer.
             if length >= LONG and (k + 1 == len(stats) or stats[k + 1][1] <= length):
                 for number, end in self.automaton.ends[state].items():
-                    yield number, first + k, end, length
+                    yield number, first + k, end, length, self._tells(state, number, end, length)
 
-    def _best(self, number: int, matches: list[tuple[int, int, int]]) -> tuple[int, int, int]:
-        """Covered words, first and last place in the file, of the best chain."""
+    def _best(self, number: int, matches: list[tuple[int, int, int, bool]]) -> tuple[int, int, int] | None:
+        """Covered words, first and last place in the file, of the best chain that tells the template
+        from others; None if there is none."""
         reach = GAP * self.lengths[number]
-        best: list[tuple[int, int, int, int]] = []  # covered, start, end in file, end in template
-        for k, end, length in matches:
+        # Place in the file and in the template, covered words and start of the best chain, and of the
+        # best one that tells.
+        best: list[tuple[int, int, tuple[int, int], tuple[int, int] | None]] = []
+        for k, end, length, tells in matches:
             top = (length, k - length + 1)
-            for covered, start, before, place in reversed(best):
+            told = top if tells else None
+            for before, place, chain, telling in reversed(best):
                 if k - before > reach:
                     break  # too far apart to be one notice
                 # What both have of the template counts once; chains go forward in both.
                 fresh = min(length, end - place, k - before)
                 if fresh > 0:
-                    top = max(top, (covered + fresh, start))
-            best.append((*top, k, end))
+                    top = max(top, (chain[0] + fresh, chain[1]))
+                    own = chain if tells else telling
+                    if own:
+                        own = (own[0] + fresh, own[1])
+                        told = max(told, own) if told else own
+            best.append((k, end, top, told))
         # Of equals the shortest; of those one in the middle, so that few steps part many copies.
         middle = (len(best) - 1) / 2
-        at = max(range(len(best)), key=lambda i: (best[i][0], best[i][1] - best[i][2], -abs(i - middle)))
-        return best[at][:3]
+        found = [(*told, k, i) for i, (k, _, _, told) in enumerate(best) if told]
+        return max(found, key=lambda c: (c[0], c[1] - c[2], -abs(c[3] - middle)))[:3] if found else None
 
-    def chains(self, found: dict[int, list[tuple[int, int, int]]]) -> Iterator[tuple[int, int, int, int]]:
+    def chains(self, found: dict[int, list[tuple[int, int, int, bool]]]) -> Iterator[tuple[int, int, int, int]]:
         """Template, covered words, first and last place in the file, of the best chain of each
         template over the matches of a whole text, and of further ones before and after a chain
         that covers enough."""
@@ -191,7 +215,10 @@ class Scanner:
             parts = [matches]
             while parts:
                 part = parts.pop()
-                covered, start, end = self._best(number, part)
+                chain = self._best(number, part)
+                if chain is None:
+                    continue
+                covered, start, end = chain
                 yield number, covered, start, end
                 if covered / self.lengths[number] >= COVERED:
                     sides = [m for m in part if m[0] < start], [m for m in part if m[0] - m[2] >= end]
@@ -240,7 +267,7 @@ def scan(docs: DataFrame, text: str = "text", templates: list[tuple[str, str]] |
             begin, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
             spans: list[list[dict]] = [[] for _ in range(n)]
             score = np.zeros(n)
-            found: dict[int, dict[int, list[tuple[int, int, int]]]] = {}
+            found: dict[int, dict[int, list[tuple[int, int, int, bool]]]] = {}
             for a, b in zip(begin.tolist(), end.tolist(), strict=True):
                 if b - a < LONG:
                     continue

@@ -168,6 +168,30 @@ def test_edited_licences(spark):
     assert len(spans) == 10 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
 
 
+def test_licences_are_told_apart(spark):
+    commons = "This work is licensed under a Creative Commons {} 4.0 International License."
+    cases = {
+        "Songs released under the title Zebra": "",
+        "Licensed under the BSD License": "",
+        "Licensed under the Eclipse Public License, Version 2.0": "",
+        "Licensed under the Educational Community License, Version 2.0 (the \"License\"); you may not use this "
+        "file except in compliance with the License. You may obtain a copy of the License at": "",
+        commons.format("Attribution-ShareAlike"): "",
+        "This Source Code Form is subject to the terms of the Eclipse Public License, v. 2.0": "",
+        "Released under the Apache License, Version 2.0": "apache",
+        "Released under the MIT License": "mit",
+        "the MIT License": "mit",
+        "Licensed under the GNU General Public License, version 3": "gpl",
+        commons.format("Attribution"): "cc-by",
+        commons.format("Attribution-NonCommercial"): "cc-by-nc",
+        **{text: label for label, text in licenses.TEMPLATES},
+    }
+    found = scanned(spark, list(cases))
+    assert [r.labels for r in found] == list(cases.values())
+    assert [bool(r.spans) for r in found] == [bool(label) for label in cases.values()]
+    assert all((r.score >= licenses.COVERED) == bool(r.spans) for r in found)
+
+
 def test_matching_statistics_match_brute_force():
     sequences = [[1, 2, 3, 1, 2, 4], [2, 3, 5], [1, 1, 1]]
     automaton = licenses.SuffixAutomaton(sequences)
