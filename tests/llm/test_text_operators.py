@@ -2,10 +2,12 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -104,6 +106,31 @@ def test_scores_match_word_counts(edge_docs, edge_rows):
     assert all(r.score < 0 for r in found)
 
 
+def test_context_tells_words_of_one_class_apart(spark):
+    # Words of one key, and so of one class, equally often; each context has its own.
+    words = [f"ab{k}xcd" for k in range(8)]
+    pairs = [(f"left{k}", w) for k, w in enumerate(words)]
+    rnd = random.Random(3)
+    texts = [" ".join(x for _ in range(20) for x in rnd.choice(pairs)) for _ in range(600)]
+    swapped = [(a, words[(k + 1) % len(words)]) for k, (a, _) in enumerate(pairs)]
+    texts += [" ".join(x for p in some for x in p * 5) for some in (pairs, swapped)]
+    ids = [k for k in range(3000) if zlib.crc32(str(k).encode()) % 7 != 2][:600]
+    ids += [k for k in range(3000) if zlib.crc32(str(k).encode()) % 7 == 2][:2]
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string")
+    score = {r.doc_id: r.score for r in langmodel.score_texts(docs, 7, 2).collect()}
+    assert score[ids[-2]] > score[ids[-1]] + 10
+
+
+def test_tree_chances_sum_to_one():
+    sizes = langmodel.Sizes(16, 3, 64)
+    rnd = np.random.default_rng(1)
+    trees = langmodel.Trees(sizes, rnd.integers(1, 9, (langmodel.CLASSES, 8)))
+    leaf, own = np.arange(8), np.full(8, 5)
+    codes = [np.full(8, c, np.uint32) for c in (11, 12, 13)]
+    weights = rnd.normal(size=64).astype(np.float32)
+    assert abs(np.exp(trees.log_chance(weights, own, leaf, codes)).sum() - 1) < 1e-5
+
+
 def test_statistics_match_brute_force(edge_docs, edge_rows):
     def by_hand(t):
         t = t or ""
