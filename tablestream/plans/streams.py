@@ -17,32 +17,45 @@ from tablestream.sources.readers import decode_json
 from tablestream.streaming import pipelines, sinks, windows
 
 
-FILES = 3
-_written: dict[tuple[str, str], str] = {}
+STRETCHES = 3
+FILE_ROWS = 1_000_000
+_written: dict[tuple[str, str], tuple[str, int]] = {}
 
 
-def _in_files(spark: SparkSession, data: str) -> str:
-    """The events in several files, written one after the other in the order of ts, so that every
-    stream takes several batches and carries state from one to the next."""
+def _in_files(spark: SparkSession, data: str) -> tuple[str, int]:
+    """The events in stretches of time, written one after the other in the order of ts, so that every
+    stream takes several batches and carries state from one to the next; and the files of a stretch,
+    the same for all. Rows without a ts are in the first stretch."""
     known = (spark.sparkContext.applicationId, data)
     if known not in _written:
         rows = table(spark, data, "events")
-        cuts = [i / FILES for i in range(1, FILES)]
-        borders = rows.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), cuts)).first()[0]
-        folder = run_dir(spark, "events")
         micros = F.unix_micros(F.col("ts").cast("timestamp"))
-        for low, high in zip([None, *borders], [*borders, None], strict=True):
-            part = rows if low is None else rows.filter(micros >= low)
-            part = part if high is None else part.filter(micros < high)
-            part.coalesce(1).write.mode("append").parquet(folder)
-        _written[known] = folder
+        cuts = [i / STRETCHES for i in range(1, STRETCHES)]
+        borders = rows.agg(F.percentile_approx(micros, cuts)).first()[0] or []
+        stretch = sum((F.coalesce(micros >= b, F.lit(False)).cast("int") for b in borders), F.lit(0))
+        sizes = dict(rows.groupBy(stretch).count().collect())  # at most one row a stretch
+        files = max(1, -(-max(sizes.values(), default=0) // FILE_ROWS))
+        folder = run_dir(spark, "events")
+        first = 0
+        for last in range(len(borders) + 1):
+            held = sum(sizes.get(k, 0) for k in range(first, last + 1))
+            # A stretch with too few rows for its files goes with the next.
+            if files > 1 and held < 100 * files and last < len(borders):
+                continue
+            if files > 1 and sum(sizes.get(k, 0) for k in range(last + 1, len(borders) + 1)) < 100 * files:
+                last = len(borders)
+            rows.filter(stretch.between(first, last)).repartition(files).write.mode("append").parquet(folder)
+            first = last + 1
+            if first > len(borders):
+                break
+        _written[known] = folder, files
     return _written[known]
 
 
 def _events(spark: SparkSession, data: str) -> DataFrame:
     """Watermarks need timestamps with a zone."""
-    folder = _in_files(use_utc(spark), data)
-    stream = pipelines.table_stream(spark, folder, files_per_batch=1)
+    folder, files = _in_files(use_utc(spark), data)
+    stream = pipelines.table_stream(spark, folder, files_per_batch=files)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -154,7 +167,7 @@ def stream_running_count(spark: SparkSession, data: str) -> DataFrame:
 
 @query(COOLDOWN_SQL)
 def stream_cooldown(spark: SparkSession, data: str) -> DataFrame:
-    rows = reading_columns(_events(spark, data), "timestamp")
+    rows = reading_columns(_events(spark, data).filter("ts IS NOT NULL"), "timestamp")
 
     def start(out, checkpoint):
         return pipelines.live_alerts(rows, out, checkpoint, "event_id", available=True)

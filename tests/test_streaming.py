@@ -258,3 +258,21 @@ def test_batch_times_keep_the_newest():
     assert times.mean is None
     times.times.extend([1, 2, 4])
     assert times.mean == 3
+
+
+@pytest.mark.parametrize("file_rows", [1_000_000, 300])
+def test_streams_read_events_without_a_time(spark, tmp_path, monkeypatch, file_rows):
+    from tablestream.plans import streams
+
+    monkeypatch.setattr(streams, "FILE_ROWS", file_rows)
+    schema = "event_id long, ts timestamp, event_type string, user_id long, value double, props string"
+    rows = [(k, START + timedelta(minutes=k) if k % 7 else None, "x", k % 5, 1.0, "{}") for k in range(7000)]
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "events.parquet"))
+    folder, files = streams._in_files(spark, str(tmp_path))
+    per_stretch = spark.read.parquet(folder).inputFiles()
+    assert len(per_stretch) == 3 * files and (files > 1) == (file_rows == 300)
+    counts = {r.user_id: r.events for r in streams.stream_running_count(spark, str(tmp_path)).collect()}
+    assert counts == {k: 1400 for k in range(5)}
+    assert streams.stream_append_csv(spark, str(tmp_path)).count() == len(rows)
+    minutes = streams.stream_minute_count(spark, str(tmp_path))
+    assert minutes.filter("window_start IS NOT NULL").agg(F.sum("events")).first()[0] == 6000
