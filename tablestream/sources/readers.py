@@ -82,7 +82,7 @@ def read_landing(
         reader = spark.read.schema(schema).option("multiLine", multi_line)
         return reader.option("pathGlobFilter", names).json(f"{root}/{days}")
 
-    others = "{[!p]*,p[!a]*,pa[!r]*,par[!t]*,part[!-]*}.json"
+    others = "{[!p]*,p,p[!a]*,pa,pa[!r]*,par,par[!t]*,part,part[!-]*}.json"
     return found(others, True).unionByName(found("part-*.json", False))
 
 

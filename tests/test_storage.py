@@ -191,3 +191,12 @@ def test_an_end_with_a_time_ends_there(spark):
     rows = spark.sql("SELECT explode(sequence(TIMESTAMP'2024-01-01', TIMESTAMP'2024-01-03', INTERVAL 6 HOUR)) AS t")
     assert date_range(rows, "t", "2024-01-01", "2024-01-02").count() == 8
     assert date_range(rows, "t", "2024-01-01", "2024-01-02 06:00:00").count() == 6
+
+
+def test_landing_reads_every_name(spark, tmp_path):
+    names = ["p", "pa", "par", "part", "pb", "paris", "parts", "part-0", "x"]
+    (tmp_path / "2024-01-02").mkdir()
+    for n, name in enumerate(names):
+        (tmp_path / "2024-01-02" / f"{name}.json").write_text(f'{{"n": {n}}}\n')
+    found = readers.read_landing(spark, str(tmp_path), "2024-01-02", "n long")
+    assert sorted(r.n for r in found.collect()) == list(range(len(names)))
