@@ -6,7 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablestream.llm import bpe, langmodel, licenses, minhash, mixing, repeats, rules, sharding, topk, toxicity
+from tablestream.llm import (
+    bpe,
+    fim,
+    langmodel,
+    licenses,
+    minhash,
+    mixing,
+    phrases,
+    repeats,
+    rules,
+    sharding,
+    topk,
+    toxicity,
+)
 from tablestream.llm.common import held_out, n_words, read
 from tablestream.llm.registry import query
 from tablestream.session import cut_lineage
@@ -222,3 +235,93 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langmodel.score_texts(read(spark, sf_dir, "documents").select("doc_id", "text"), 7, 2)
+
+
+@query(
+    """
+    WITH cut AS (
+        SELECT doc_id, coalesce(text, '') AS text,
+               regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS t,
+               sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+        FROM documents
+    ), drawn AS (
+        SELECT doc_id, text, t, len(t)::BIGINT AS n,
+               ('0x' || substr(h, 1, 8))::BIGINT % (len(t) + 1) AS a,
+               ('0x' || substr(h, 9, 8))::BIGINT % (len(t) + 1) AS b,
+               CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                         OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+                    WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+        FROM cut
+    ), parts AS (
+        SELECT doc_id, text, n, form, array_to_string(t[:least(a, b)], '') AS prefix,
+               array_to_string(t[least(a, b) + 1:greatest(a, b)], '') AS middle,
+               array_to_string(t[greatest(a, b) + 1:], '') AS suffix
+        FROM drawn
+    )
+    SELECT doc_id, n, form,
+           CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text
+                            WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                            ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM parts
+    """
+)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fim.transform(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    again = fim.restored(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(again.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+@query(
+    r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?
+-
+]')) AS piece
+        FROM documents
+    ), words AS (
+        SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces
+    ), starts AS (
+        SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+    ), grams AS (
+        SELECT lang, w[i:i + k - 1] AS g
+        FROM starts, range(1, 6) AS lengths(k) WHERE i + k - 1 <= len(w)
+    ), counted AS (
+        SELECT lang, g, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100
+    ), totals AS (
+        SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang
+    ), cuts AS (
+        SELECT lang, g, f AS a, unnest(range(1, len(g))) AS k FROM counted WHERE len(g) > 1
+    ), scored AS (
+        SELECT c.lang, c.g, c.a, k, x.f AS l, y.f AS r, n,
+               ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+        FROM cuts c JOIN counted x ON x.lang = c.lang AND x.g = c.g[:k]
+             JOIN counted y ON y.lang = c.lang AND y.g = c.g[k + 1:]
+             JOIN totals t ON t.lang = c.lang
+    ), best AS (
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS place FROM scored)
+        WHERE place = 1
+    ), inside AS (
+        SELECT lang, f, g[i:i + k - 1] AS g
+        FROM counted, range(1, 5) AS starts(i), range(2, 5) AS lengths(k)
+        WHERE k < len(g) AND i + k - 1 <= len(g)
+    )
+    SELECT * FROM (
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank,
+               array_to_string(g, ' ') AS phrase, a, l, r, n, score
+        FROM best b
+        WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = b.lang AND i.g = b.g AND 100 * i.f >= 100 * b.a))
+    WHERE rank <= 2000
+    """
+)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.collocations(read(spark, sf_dir, "documents").select("lang", "text"))
+    return phrases.top(found, 2000).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
