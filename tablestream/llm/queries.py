@@ -14,6 +14,7 @@ from tablestream.llm import (
     minhash,
     mixing,
     phrases,
+    pii,
     repeats,
     rules,
     sharding,
@@ -325,3 +326,18 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = phrases.collocations(read(spark, sf_dir, "documents").select("lang", "text"))
     return phrases.top(found, 2000).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+@query()
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pii.fit(pii.examples(spark))
+    found = pii.find(read(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    return found.select(
+        "doc_id",
+        *(
+            F.size(F.filter("pattern_spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+            for kind in pii.KINDS
+        ),
+        F.sha2(pii.listed(F.col("pattern_spans")).cast("binary"), 256).alias("base_sha256"),
+        pii.listed(F.col("pii_spans")).alias("spans"),
+    )
