@@ -642,3 +642,7 @@ def _free(edges: np.ndarray, start: int, end: int) -> bool:
 def listed(spans: Column) -> Column:
     """kind:start:end of each span, joined by commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def number_of(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")

@@ -335,8 +335,7 @@ def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id",
         *(
-            F.size(F.filter("pattern_spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
-            for kind in pii.KINDS
+            pii.number_of(F.col("pattern_spans"), kind).alias(f"n_{kind}") for kind in pii.KINDS
         ),
         F.sha2(pii.listed(F.col("pattern_spans")).cast("binary"), 256).alias("base_sha256"),
         pii.listed(F.col("pii_spans")).alias("spans"),

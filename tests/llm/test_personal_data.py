@@ -1,6 +1,7 @@
 """Personal data: patterns against plain regular expressions, the field against enumeration and full
 decoding, and accuracy on sentences it has not seen."""
 
+import hashlib
 import itertools
 import random
 import re
@@ -11,7 +12,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tablestream.llm import pii
+from tablestream.llm import pii, queries  # noqa: F401
+from tablestream.llm.registry import QUERIES
 from tablestream.llm.textarrays import flat
 
 PATTERNS = {
@@ -176,3 +178,14 @@ def test_labelled_tables(spark):
     assert [tuple(s) for s in row.pii_spans] == [("email", 5, 11)]
     with pytest.raises(ValueError):
         pii.fit(empty.unionByName(spark.range(pii.MOST_LABELLED + 1).select(F.lit("x").alias("text"), F.lit(None).cast(pii.SPANS).alias("spans"))))
+
+
+def test_query_digests(spark):
+    found = QUERIES["op12_personal_data"](spark, "/root/testdata/sf0.001").collect()
+    texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    have = {r.doc_id: ((r.n_email, r.n_ip, r.n_card, r.n_phone), r.base_sha256) for r in found}
+    for r in texts:
+        spans = by_hand(r.text or "")
+        digest = hashlib.sha256(",".join(":".join(map(str, s)) for s in spans).encode()).hexdigest()
+        assert have[r.doc_id] == (tuple(sum(s[0] == kind for s in spans) for kind in pii.KINDS), digest)
+    assert len(found) == len(texts)
