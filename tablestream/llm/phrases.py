@@ -2,15 +2,17 @@
 
 All counts come from streams in order; no task holds a table of phrases to look counts up in.
 
-1. Texts are split into pieces and words, and packed into blocks of word numbers. Words are counted
-   from the blocks, and those below the least count end a phrase, as no phrase with them can reach
-   it. The others are numbered in the order of their language and bytes, so that the numbers of a
-   phrase, as bytes, sort like the phrase and hold its language.
-2. Each place gives the window of the five words from it, shorter at the end of a piece; a block
-   sums equal windows before they leave it. Spark sorts the windows by range over all words, so no
-   word or pair has to fit one task. In that order every phrase is a run of windows that begin with
-   it, and one pass gives the counts of all lengths at once. Runs that cross the end of a partition
-   are added up afterwards.
+1. Texts are split into pieces and words, and packed into blocks of word numbers. The words of all
+   blocks are sorted; one pass over that stream gives their counts, and those that reach the least
+   are numbered in the order of their language and bytes, so that the numbers of a phrase, as bytes,
+   sort like the phrase and hold its language. Rarer words end a phrase, as none with them can reach
+   the least count.
+2. Each place gives the window of the five words from it, shorter at the end of a piece. A block
+   sorts its windows, sums equal ones and cuts them at the bounds of ranges into compressed pieces.
+   The ranges are cut over all five words, from evenly spread samples, so no word or pair has to fit
+   one; a block brings a window once, however often it has it. The pieces of a range are merged: in
+   order every phrase is a run of windows that begin with it, and one pass gives the counts of all
+   lengths at once. Runs that may cross the end of a range are added up afterwards.
 3. The counts that reach the least are kept as two streams. In prefix order a phrase comes after its
    own first parts and directly before its continuations, so one pass gives the counts of the left
    parts of all cuts, and whether the next word is always the same. In suffix order (words reversed)
@@ -31,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,10 +45,11 @@ from tablestream.session import cut_lineage
 
 LONGEST = 5
 LEAST = 100
-#: Bytes of text in a block, and windows that share a task.
-BLOCK_BYTES, TASK_ROWS = 6 << 20, 1_500_000
-#: Partitions of the sorted stream; beyond, each has more rows. It is sorted and read outside memory.
-MOST_TASKS = 50_000
+#: Bytes of text in a block, and windows of a range, about. Bounds of ranges are known to all tasks:
+#: 15 bytes for each RANGE_ROWS windows.
+BLOCK_BYTES, RANGE_ROWS = 6 << 20, 1_500_000
+#: One window of so many is a sample for the bounds.
+SAMPLE_EVERY = 10_000
 
 PIECE_END = np.zeros(256, bool)
 PIECE_END[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -140,108 +144,163 @@ def _recoded(width: int):
     return recode
 
 
-def _windows(width: int, bits: int):
-    """Windows of at least two words of each block, in order and summed."""
+def _sort_keys(columns: np.ndarray, bits: int) -> list[np.ndarray]:
+    """As few 64-bit keys as the bits of the words allow that sort like the columns."""
+    keys, room = [], 0
+    for column in columns:
+        if room < bits:
+            keys.append(np.zeros(columns.shape[1], np.uint64))
+            room = 64
+        keys[-1] = (keys[-1] << np.uint64(bits)) | column.astype(np.uint64)
+        room -= bits
+    return keys
+
+
+def _summed(columns: np.ndarray, n: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows in order, equal ones once with the sum of their counts."""
+    keys = _sort_keys(columns, bits)
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for key in keys:
+        key = key[order]
+        new[1:] |= key[1:] != key[:-1]
+    first = np.flatnonzero(new)
+    return columns[:, order[first]], np.add.reduceat(n[order], first) if len(first) else n
+
+
+def _cut(words: np.ndarray) -> np.ndarray:
+    """The windows of at least two words (LONGEST, places) of a stream of word numbers."""
+    words = np.append(words, np.zeros(LONGEST, np.uint64))
+    at = np.flatnonzero((words[:-LONGEST] > 0) & (words[1 : 1 - LONGEST] > 0))
+    window = np.stack([words[at + k] for k in range(LONGEST)])
+    for k in range(2, LONGEST):
+        window[k][window[k - 1] == 0] = 0
+    return window
+
+
+def _samples(width: int):
+    """Every so many windows of each block, from a place that the block's size decides."""
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows(batches):
+            window = _cut(_numbers(row["stream"], width))
+            yield pa.RecordBatch.from_arrays(
+                [_keys(window[:, window.shape[1] % SAMPLE_EVERY :: SAMPLE_EVERY], width)], names=["key"]
+            )
+
+    return some
+
+
+def _pieces(width: int, bits: int, bounds: np.ndarray):
+    """The windows of each block, sorted, summed and cut into compressed pieces by range."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows(batches):
-            words = np.append(_numbers(row["stream"], width), np.zeros(LONGEST, np.uint64))
-            at = np.flatnonzero((words[:-LONGEST] > 0) & (words[1 : 1 - LONGEST] > 0))
-            if not len(at):
+            window = _cut(_numbers(row["stream"], width))
+            if not window.shape[1]:
                 continue
-            window = np.stack([words[at + k] for k in range(LONGEST)])
-            for k in range(2, LONGEST):
-                window[k][window[k - 1] == 0] = 0
-            # As few sort keys as the bits of the words allow.
-            keys = [np.zeros(len(at), np.uint64)]
-            room = 64
-            for column in window:
-                if room < bits:
-                    keys.append(np.zeros(len(at), np.uint64))
-                    room = 64
-                keys[-1] = (keys[-1] << np.uint64(bits)) | column
-                room -= bits
-            order = np.lexsort(keys[::-1])
-            new = np.zeros(len(at), bool)
-            new[0] = True
-            for k in keys:
-                k = k[order]
-                new[1:] |= k[1:] != k[:-1]
-            first = np.flatnonzero(new)
-            counts = np.diff(np.append(first, len(at)))
+            window, n = _summed(window, np.ones(window.shape[1], np.int64), bits)
+            ends = [0, *_places(window, bounds, bits).tolist(), window.shape[1]]
+            ranges, data = [], []
+            for k, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
+                if a < b:
+                    ranges.append(k)
+                    # Sorted columns as steps, which are small.
+                    part = window[:, a:b].copy()
+                    part[:2, 1:] -= window[:2, a : b - 1]
+                    data.append([_squeezed(part.ravel(), width), _squeezed(n[a:b], 4)])
             yield pa.RecordBatch.from_arrays(
-                [_keys(window[:, order[first]], width), pa.array(counts, pa.int64())], names=["key", "n"]
+                [pa.array(ranges, pa.int64()), *(pa.array(x, pa.binary()) for x in zip(*data, strict=True))],
+                names=["range", "words", "n"],
             )
 
     return cut
 
 
-def _run_counts(width: int, least: int):
-    """Counts of all phrases of two words and more in a sorted stream of windows: those that reach
-    ``least``, and the first and the last of each length, which other partitions may hold too."""
+def _places(window: np.ndarray, bounds: np.ndarray, bits: int) -> np.ndarray:
+    """The number of sorted windows before each bound."""
+    n = window.shape[1]
+    both = _sort_keys(np.concatenate([bounds, window], axis=1), bits)
+    # Bounds come first, so that they stay before equal windows.
+    order = np.lexsort(both[::-1])
+    return np.flatnonzero(order < bounds.shape[1]) - np.arange(bounds.shape[1]) if n else np.zeros(bounds.shape[1], int)
+
+
+def _run_counts(width: int, bits: int, least: int):
+    """Counts of all phrases of two words and more in a range of windows: those that reach
+    ``least``, and the first and the last of each length, which other ranges may hold too."""
+
+    def count(table: pa.Table) -> pa.Table:
+        parts, counts = [], []
+        mask = np.uint64((1 << (8 * width)) - 1)
+        for words, n in zip(table.column("words").to_pylist(), table.column("n").to_pylist(), strict=True):
+            part = _numbers(words, width).reshape(LONGEST, -1).copy()
+            part[:2] = np.cumsum(part[:2], axis=1, dtype=np.uint64) & mask
+            parts.append(part)
+            counts.append(_numbers(n, 4).astype(np.int64))
+        columns, n = _summed(np.concatenate(parts, axis=1), np.concatenate(counts), bits)
+        found, sums = [], []
+        fresh = np.zeros(len(n), bool)
+        fresh[0] = True
+        for k in range(1, LONGEST + 1):
+            fresh[1:] |= columns[k - 1, 1:] != columns[k - 1, :-1]
+            if k == 1:
+                continue
+            at = np.flatnonzero(fresh)
+            total = np.add.reduceat(n, at)
+            keep = total >= least
+            keep[[0, -1]] = True
+            keep &= columns[k - 1, at] > 0  # runs of shorter windows are none
+            phrases = columns[:, at[keep]]
+            phrases[k:] = 0
+            found.append(phrases)
+            sums.append(total[keep])
+        return pa.table(
+            [_keys(np.concatenate(found, axis=1), width), pa.array(np.concatenate(sums), pa.int64())], names=["key", "f"]
+        )
+
+    return count
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prefix: np.ndarray | None = None  # the last window seen
-        open_sums = [0] * (LONGEST + 1)
-        edge = [True] * (LONGEST + 1)  # whether the open run is the first of its length
 
-        def closed(k: int, of: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            of = of.copy()
-            of[k:] = 0
-            return of, sums
+def _frequent(listed: DataFrame, least: int) -> tuple[DataFrame, int]:
+    """Rows (block, pos, lang, word, counts) of words with ``least`` occurrences in all, with their
+    number ``id`` from 1 in the order of language and word, and how many such words there are."""
+    spread = listed.repartitionByRange("lang", "word")
+    # The ranges keep each word together, in at most one row a block.
+    total = F.sum("counts").over(Window.partitionBy("lang", "word"))
+    kept = spread.withColumn("f", total).filter(F.col("f") >= least)
+    kept = kept.sortWithinPartitions("lang", "word", "block").withColumn("place", F.spark_partition_id())
 
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, at = None, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns, n = _columns(batch.column("key"), width), batch.column("n").to_numpy()
-            found, sums = [], []
-            fresh = np.zeros(len(n), bool)
-            sure = prefix is not None
-            for k in range(1, LONGEST + 1):
-                fresh[1:] |= columns[k - 1, 1:] != columns[k - 1, :-1]
-                fresh[0] |= not sure or columns[k - 1, 0] != prefix[k - 1]
-                if k == 1:
-                    continue
-                at = np.flatnonzero(fresh)
-                total = np.add.reduceat(n, np.append(0, at) if not fresh[0] else at) if len(n) else n
-                if not fresh[0]:
-                    open_sums[k] += int(total[0])
-                    total = total[1:]
-                if not len(at):
-                    continue
-                if sure and prefix[k - 1] and (open_sums[k] >= least or edge[k]):
-                    of, by = closed(k, prefix[:, None], np.array([open_sums[k]]))
-                    found.append(of)
-                    sums.append(by)
-                    edge[k] = False
-                # All but the last new run end within the batch. The first run of a length counts as
-                # an edge; runs of windows too short for the length are none.
-                real = columns[k - 1, at] > 0
-                ended = real.copy()
-                ended[-1] = False
-                keep = ended & (total >= least)
-                if edge[k] and ended.any():
-                    keep[np.argmax(ended)] = True
-                    edge[k] = False
-                of, by = closed(k, columns[:, at[keep]], total[keep])
-                found.append(of)
-                sums.append(by)
-                open_sums[k] = int(total[-1])
-            prefix = columns[:, -1].copy()
-            if found:
-                yield pa.RecordBatch.from_arrays(
-                    [_keys(np.concatenate(found, axis=1), width), pa.array(np.concatenate(sums), pa.int64())],
-                    names=["key", "f"],
-                )
-        if prefix is not None:
-            found = [closed(k, prefix[:, None], None)[0] for k in range(2, LONGEST + 1) if prefix[k - 1]]
-            sums = [open_sums[k] for k in range(2, LONGEST + 1) if prefix[k - 1]]
-            if found:
-                yield pa.RecordBatch.from_arrays(
-                    [_keys(np.concatenate(found, axis=1), width), pa.array(sums, pa.int64())], names=["key", "f"]
-                )
+            lang, word = batch.column("lang"), batch.column("word")
+            new = np.ones(batch.num_rows, bool)
+            if batch.num_rows > 1:
+                same = pc.and_(pc.equal(lang[1:], lang[:-1]), pc.equal(word[1:], word[:-1]))
+                new[1:] = ~same.to_numpy(zero_copy_only=False)
+            new[0] = last != (lang[0].as_py(), word[0].as_py())
+            last = (lang[-1].as_py(), word[-1].as_py())
+            local = at + np.cumsum(new)
+            at = int(local[-1])
+            # The name goes with the first row of a word.
+            names = [pa.array(np.where(new, column.to_numpy(zero_copy_only=False), None), pa.string()) for column in (lang, word)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("block"), batch.column("pos"), *names, batch.column("f"), batch.column("place"), pa.array(local)],
+                names=["block", "pos", "lang", "word", "f", "place", "local"],
+            )
 
-    return count
+    kept = kept.select("block", "pos", "lang", "word", "f", "place")
+    kept = stored(kept.mapInArrow(number, "block long, pos int, lang string, word string, f long, place int, local long"))
+    sizes = kept.groupBy("place").agg(F.max("local").alias("size")).orderBy("place").collect()  # one row a partition
+    before = dict(zip((r["place"] for r in sizes), np.cumsum([0] + [r["size"] for r in sizes]).tolist(), strict=False))
+    if not before:
+        return kept.withColumn("id", F.col("local")), 0
+    carried = F.create_map(*(F.lit(x) for pair in before.items() for x in pair))
+    return kept.withColumn("id", F.col("local") + F.element_at(carried, F.col("place"))), sum(r["size"] for r in sizes)
 
 
 def _first_parts(key: Column, width: int) -> Column:
@@ -332,22 +391,23 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     blocks = stored(docs.mapInArrow(_blocks, BLOCK).withColumn("block", F.monotonically_increasing_id()))
     totals = blocks.groupBy("lang").agg(F.sum("places").alias("n"))
     listed = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("pos", "w"))
-    listed = listed.select("block", "lang", (F.col("pos") + 1).alias("pos"), "w.words", "w.counts")
-    words = listed.groupBy("lang", "words").agg(F.sum("counts").alias("f")).filter(F.col("f") >= least)
-    words, n_words = numbered(words, [F.col("lang"), F.col("words")], "id")
-    words = stored(words.withColumn("id", F.col("id") + 1))
-    width = max(1, (n_words.bit_length() + 7) // 8)
-
-    # Numbers go to the blocks that have the word, one row a distinct word of a block.
-    ids = listed.select(F.col("block").alias("of"), "pos", "lang", "words").join(words.drop("f"), ["lang", "words"])
+    listed = listed.select("block", "lang", (F.col("pos") + 1).alias("pos"), F.col("w.words").alias("word"), "w.counts")
+    frequent, n_words = _frequent(listed, least)
+    words = frequent.filter("word IS NOT NULL").select("id", "lang", "word", "f")
+    bits = n_words.bit_length()
+    width = max(1, (bits + 7) // 8)
+
+    ids = frequent.select(F.col("block").alias("of"), "pos", "id")
     streams = blocks.select("block", "stream", F.size("words").alias("distinct"))
-    coded = streams.groupBy("block").cogroup(ids.select("of", "pos", "id").groupBy("of"))
+    coded = streams.groupBy("block").cogroup(ids.groupBy("of"))
     coded = stored(coded.applyInArrow(_recoded(width), "stream binary"))
-    places = blocks.agg(F.sum("places")).first()[0] or 0
-    tasks = min(max(8, places // TASK_ROWS), MOST_TASKS)
-    windows = coded.mapInArrow(_windows(width, n_words.bit_length()), "key binary, n long")
-    ordered = windows.repartitionByRange(tasks, "key").sortWithinPartitions("key")
-    counts = ordered.mapInArrow(_run_counts(width, least), "key binary, f long")
+    sample, _ = numbered(coded.mapInArrow(_samples(width), "key binary"), [F.col("key")], "at")
+    every = max(1, RANGE_ROWS // SAMPLE_EVERY)
+    # One bound for each RANGE_ROWS windows.
+    bounds = [bytes(r["key"]) for r in sample.filter((F.col("at") % every == 0) & (F.col("at") > 0)).select("key").collect()]
+    bounds = _columns(pa.array(sorted(set(bounds)), pa.binary()), width).astype(np.uint64)
+    pieces = coded.mapInArrow(_pieces(width, bits, bounds), "range long, words binary, n binary")
+    counts = pieces.groupBy("range").applyInArrow(_run_counts(width, bits, least), "key binary, f long")
     counts = counts.groupBy("key").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
     alone = words.select(_word_key(F.col("id"), width).alias("key"), "f")
     counts = stored(counts.unionByName(alone))
@@ -363,10 +423,10 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     merged = stored(merged.withColumn("ids", F.filter(numbers, lambda x: x > 0)))
     named = (
         merged.select("key", F.posexplode("ids").alias("pos", "id"))
-        .join(words.select("id", "lang", "words"), "id")
+        .join(words.select("id", "lang", "word"), "id")
         .groupBy("key")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "words"))).alias("w"), F.first("lang").alias("lang"))
-        .select("key", "lang", F.array_join("w.words", " ").alias("phrase"))
+        .agg(F.array_sort(F.collect_list(F.struct("pos", "word"))).alias("w"), F.first("lang").alias("lang"))
+        .select("key", "lang", F.array_join("w.word", " ").alias("phrase"))
     )
     found = merged.select("key", F.size("ids").alias("k"), "f", "parts", "ends").join(named, "key").join(totals, "lang")
 

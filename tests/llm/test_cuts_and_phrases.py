@@ -83,8 +83,11 @@ def collocations_by_hand(rows, least):
     return out
 
 
-@pytest.mark.parametrize("least", [2, 4])
-def test_collocations_match_brute_force(spark, edge_rows, least):
+@pytest.mark.parametrize(("least", "many"), [(2, False), (2, True), (4, True)])
+def test_collocations_match_brute_force(spark, edge_rows, least, many, monkeypatch):
+    if many:  # blocks and ranges
+        for name, value in (("BLOCK_BYTES", 3000), ("RANGE_ROWS", 60), ("SAMPLE_EVERY", 6)):
+            monkeypatch.setattr(phrases, name, value)
     rnd = random.Random(least)
     rows = [(r[1], r[2]) for r in edge_rows]
     some = ["of", "the", "The", "été", "🙂", "x", "a\x01b", "a", "y'all", "b"]
