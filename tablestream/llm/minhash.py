@@ -2,7 +2,9 @@
 
 Each text becomes its set of five-word shingles. Minima of 126 permutations give 42 band keys of
 three, for candidates, and a signature of the lowest four bits of each minimum, packed into eight
-longs. Texts with equal sets are one class and only its least document goes on.
+longs. Texts with equal sets are one class, with a number of its own, and only one of its texts goes
+on. Full sets are built for the classes that share a band key, from the texts that a Bloom filter of
+their ids lets through; what it lets through by chance falls out by the sums of its set.
 
 Documents that share a band key are candidates. They are never expanded into all pairs: tasks compare
 the signatures of a bucket by bit counts, in slices of bounded size, and name for each document the
@@ -16,7 +18,9 @@ estimate is below the cut of 0.55 with probability below 1e-6; both fall fast ab
 
 Cases: null, empty and blank texts have no shingles and are linked with nothing; with fewer than
 five words the whole sequence is the one shingle. Rows without an id take part in nothing and are
-kept. Rows with the same id and text are copies of each other.
+kept. Every row is a document: rows that share an id but not the text have links of their own, and
+the least id a row can reach may be its own id by another row. Repeated rows are copies of each other.
+Other columns of the input play no part.
 """
 
 from __future__ import annotations
@@ -30,8 +34,8 @@ from pyspark.sql import functions as F
 
 from tablestream.llm.common import plain_plans, stored
 from tablestream.llm.graph import components
-from tablestream.llm.textarrays import LOWER, NOT_BLANK, Hashes, Words, flat, mixed, slices
-from tablestream.session import cut_lineage
+from tablestream.llm.idfilter import IdFilter
+from tablestream.llm.textarrays import LOWER, NOT_BLANK, Hashes, Words, flat, mixed, per_text_sum, slices
 
 SHINGLE = 5
 BANDS, ROWS = 42, 3
@@ -64,6 +68,12 @@ def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return shingles[new], np.searchsorted(owner[new], np.arange(words.texts + 1))
 
 
+def _sums(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Two sums over each set that do not depend on the order of its members."""
+    mask = np.uint64(0xA5A5A5A5A5A5A5A5)
+    return np.stack([per_text_sum(mixed(sets), bounds), per_text_sum(mixed(sets ^ mask), bounds)])
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches, "text"):
         sets, bounds = shingle_sets(part.column("text"))
@@ -82,37 +92,42 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         per_long = 64 // BITS
         low = np.pad(low, ((0, 0), (0, LONGS * per_long - MINIMA))).reshape(-1, LONGS, per_long)
         packed = (low << (np.arange(per_long, dtype=np.uint64) * np.uint64(BITS))).sum(axis=2, dtype=np.uint64)
-        # Two sums over the set that do not depend on the order of its members.
-        sums = np.zeros((2, part.num_rows), np.uint64)
-        if len(full):
-            sums[0, full] = np.add.reduceat(mixed(sets), starts)
-            sums[1, full] = np.add.reduceat(mixed(sets ^ np.uint64(0xA5A5A5A5A5A5A5A5)), starts)
+        sums = _sums(sets, bounds)
         yield pa.RecordBatch.from_arrays(
             [
                 part.column("doc_id"),
+                part.column("carried"),
                 pa.array(sizes.astype(np.int64)),
                 pa.array(sums[0].view(np.int64)),
                 pa.array(sums[1].view(np.int64)),
                 pa.array(list(code.view(np.int64)), pa.list_(pa.int64())),
                 pa.array(list(packed.view(np.int64)), pa.list_(pa.int64())),
             ],
-            names=["doc_id", "n_shingles", "s0", "s1", "bands", "packed"],
+            names=["doc_id", "carried", "n_shingles", "s0", "s1", "bands", "packed"],
         )
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches, "text"):
-        sets, bounds = shingle_sets(part.column("text"))
-        found, maps = [], []
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            found.append(sets[a:b].tobytes())
-            bits = np.zeros(MAP_BITS, bool)
-            bits[(sets[a:b] >> np.uint64(65 - MAP_BITS.bit_length())).astype(np.int64)] = True
-            maps.append(np.packbits(bits).tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(found, pa.binary()), pa.array(maps, pa.binary())],
-            names=["id", "members", "map"],
-        )
+def _sets(wanted: IdFilter):
+    """Full sets of the texts whose ids the filter lets through."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices([batch.filter(wanted.lets(batch.column("doc_id")))], "text"):
+                sets, bounds = shingle_sets(part.column("text"))
+                sums = _sums(sets, bounds).view(np.int64)
+                found, maps = [], []
+                for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                    found.append(sets[a:b].tobytes())
+                    bits = np.zeros(MAP_BITS, bool)
+                    bits[(sets[a:b] >> np.uint64(65 - MAP_BITS.bit_length())).astype(np.int64)] = True
+                    maps.append(np.packbits(bits).tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(np.diff(bounds)), *map(pa.array, sums),
+                     pa.array(found, pa.binary()), pa.array(maps, pa.binary())],
+                    names=["rep", "n_shingles", "s0", "s1", "members", "map"],
+                )
+
+    return build
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,37 +222,47 @@ def _merged(labels: DataFrame, tried: DataFrame) -> DataFrame:
     return stored(labels.join(found, "c", "left").select("id", F.coalesce("to", "c").alias("c")))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, carry: str | None = None) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` (least document reachable over links of at
-    least 75 % common shingles) and ``kept`` (is that document) for each row of ``docs``."""
+    least 75 % common shingles) and ``kept`` (is that document) for each row of ``docs``.
+
+    With ``carry``, the name of a long column of ``docs`` that tells rows of one id apart, also that
+    column and ``group``, the number of the row's component (null without shingles)."""
     with plain_plans(docs.sparkSession):
-        return _near_duplicates(docs)
+        return _near_duplicates(docs, [carry] if carry else [])
 
 
-def _near_duplicates(docs: DataFrame) -> DataFrame:
+def _near_duplicates(docs: DataFrame, carry: list[str]) -> DataFrame:
+    held = docs.select("doc_id", "text", (F.col(carry[0]) if carry else F.lit(0)).cast("long").alias("carried"))
     docs = docs.select("doc_id", "text")
-    signed = cut_lineage(
-        docs.mapInArrow(
+    signed = stored(
+        held.mapInArrow(
             _signatures,
-            "doc_id long, n_shingles long, s0 long, s1 long, bands array<long>, packed array<long>",
+            "doc_id long, carried long, n_shingles long, s0 long, s1 long, bands array<long>, packed array<long>",
         )
     )
+    signed = signed.withColumnRenamed("carried", carry[0]) if carry else signed.drop("carried")
     able = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     key = ["s0", "s1", "n_shingles"]
-    # Checkpointed, so that both sides of the joins on hot keys are dealt anew and can be split.
-    classes = cut_lineage(able.groupBy(*key).agg(F.min("doc_id").alias("rep")))
-    reps = able.join(classes, key).filter("doc_id = rep").dropDuplicates(["rep"])
-    reps = cut_lineage(reps.select(F.col("rep").alias("id"), "bands", "packed"))
+    # Numbered once, in a table.
+    classes = able.groupBy(*key).agg(F.min("doc_id").alias("rep"))
+    classes = stored(classes.withColumn("id", F.monotonically_increasing_id()))
+    member = able.select("doc_id", *carry, *key).join(classes, key)
+    member = stored(member.select("doc_id", *carry, "n_shingles", "id", "rep"))
+    reps = able.withColumnRenamed("doc_id", "rep").join(classes, ["rep", *key]).dropDuplicates(["id"])
+    reps = stored(reps.select("id", "bands", "packed"))
 
     bands = reps.select("id", F.explode("bands").alias("key"))
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    shared = cut_lineage(shared.filter("n > 1"))
-    members = cut_lineage(bands.join(shared, "key"))
+    shared = stored(shared.filter("n > 1"))
+    members = stored(bands.join(shared, "key"))
     labels = stored(members.select("id").distinct().withColumn("c", F.col("id")))
-    signatures = cut_lineage(reps.select("id", "packed").join(labels, "id", "left_semi"))
-    chosen = docs.join(signatures.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    sets = chosen.mapInArrow(_sets, "id long, members binary, map binary").dropDuplicates(["id"])
-    sets = cut_lineage(sets)
+    signatures = stored(reps.select("id", "packed").join(labels, "id", "left_semi"))
+    chosen = stored(classes.join(signatures.select("id"), "id", "left_semi"))
+    wanted = IdFilter.of(chosen.select(F.col("rep").alias("id")))
+    built = docs.mapInArrow(_sets(wanted), "rep long, n_shingles long, s0 long, s1 long, members binary, map binary")
+    sets = built.join(chosen, ["rep", *key]).dropDuplicates(["id"]).select("id", "members", "map")
+    sets = stored(sets)
     tasks = max(16, members.count() // TASK_ROWS)
 
     def side(name: str, value: str) -> DataFrame:
@@ -271,13 +296,15 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     rest = _partners(still, tasks, False).select("a", "b").distinct()
     labels = _merged(labels, confirmed(rest.join(tried.select("a", "b"), ["a", "b"], "left_anti")))
 
-    def placed(table: DataFrame, of: str, name: str) -> DataFrame:
-        found = labels.select(F.col("id").alias(of), F.col("c").alias("_c"))
-        return table.join(found, of, "left").withColumn(name, F.coalesce("_c", of)).drop("_c")
-
-    of_class = able.select("doc_id", *key).join(classes, key).select("doc_id", "n_shingles", "rep")
-    linked = placed(of_class, "rep", "component_id").select("doc_id", "n_shingles", "component_id")
+    found = member.select("id", "rep").distinct().join(labels, "id", "left")
+    found = found.select("id", "rep", F.coalesce("c", "id").alias("group"))
+    least = found.groupBy("group").agg(F.min("rep").alias("component_id"))
+    found = found.join(least, "group").select("id", "group", "component_id")
+    linked = member.join(found, "id").select("doc_id", "n_shingles", "component_id", *carry, "group")
     rest = signed.filter("n_shingles = 0 OR doc_id IS NULL")
-    rest = rest.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    rest = rest.select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), *carry, F.lit(None).cast("long").alias("group")
+    )
     both = linked.unionByName(rest)
-    return both.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    both = both.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return both.select("doc_id", "n_shingles", "component_id", "kept", *([*carry, "group"] if carry else []))

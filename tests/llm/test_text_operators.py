@@ -14,6 +14,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from tablestream.llm import bpe, langmodel, licenses, minhash, repeats, rules
+from tablestream.llm.idfilter import IdFilter
 from tablestream.llm.runindex import RunIndex
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -257,3 +258,21 @@ def test_empty_tables(no_docs, spark):
     assert rules.statistics(no_docs).count() == 0
     assert licenses.scan(no_docs).count() == 0
     assert bpe.encode(no_docs, path, public_tokenizers.PATTERN).count() == 0
+
+
+def test_rows_of_one_id_keep_their_links(spark, edge_rows):
+    base, other = (" ".join(f"{c}{k}" for k in range(60)) for c in "ab")
+    rows = [(1, base), (1, other), (2, base + " tail"), (3, other + " tail"), (4, other + " x y"), (7, base), (7, "else " * 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("id", F.lit("x")).withColumn("rep", F.lit(0))
+    found = {(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect()}
+    assert found == {(1, 1, True), (2, 1, False), (3, 1, False), (4, 1, False), (7, 1, False), (7, 7, True)}
+
+
+def test_filter_of_ids_lets_all_through(spark):
+    wanted = IdFilter.of(spark.range(0, 30_000, 3))
+    every = spark.range(30_000).union(spark.createDataFrame([(None,)], "id long"))
+    passed = {r.id for r in wanted.passed(every, "id").collect()}
+    assert set(range(0, 30_000, 3)) <= passed
+    assert None not in passed
+    assert len(passed) < 11_000
+    assert IdFilter.of(spark.range(0)).passed(every, "id").count() == 0
