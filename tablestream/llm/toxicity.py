@@ -1,10 +1,10 @@
 """Toxicity: a linear-chain conditional random field over words.
 
 Only documents carry labels, so words are labelled first: a word feature (the word, or its first
-bytes) that occurs in far more toxic documents than the share of toxic documents explains marks
-the words that have it, in toxic documents. The field is trained on those labelled words with
-exact forward-backward gradients; each step is one Spark job over the sample, and only the summed
-gradient returns. Marginals give the offending spans, and a logistic layer on the marginals of a
+bytes) that occurs in far more toxic documents than chance explains, by its counts in all labelled
+documents, marks the words that have it, in toxic documents. The field is trained on those words of a
+bounded sample with exact forward-backward gradients; each step is one Spark job over the sample,
+and only the summed gradient returns. Marginals give the offending spans, and a logistic layer on the marginals of a
 document gives its score.
 
 The words of a batch of documents form one chain of 2 x 2 matrices in which the first word of a
@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablestream.llm.common import stored
+from tablestream.llm.idfilter import IdFilter
 from tablestream.llm.textarrays import (
     LOWER,
     NOT_BLANK,
@@ -46,9 +48,9 @@ BLOCK = 64
 SAMPLE_PER_CLASS = 1500
 SAMPLE_PARTS = 12
 STEPS = 14
-#: Standard deviations above the expected number of toxic documents that make a feature evidence.
-EVIDENCE = 5.9
-TIMES = 8
+#: A feature is evidence if at least so many labelled toxic documents have it, if it is so many times
+#: as frequent in them as in others, and if no more than so many of all features pass by chance.
+LEAST_SEEN, TIMES, BY_CHANCE = 4, 8, 20
 #: Marginal from which a word counts in the score of its document.
 SUSPECT = 0.25
 
@@ -170,24 +172,31 @@ def summary(p: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
-    """At most ``per_class`` labelled documents of each class: doc_id, text, y. Equal texts and
-    texts with the same smallest hash of three words, mostly near copies, count once."""
+    """All labelled documents: doc_id, text, y and ``picked``, whether the fit uses them, which holds
+    for at most ``per_class`` of each class. Equal texts and texts with the same smallest hash of
+    three words, mostly near copies, count once, by their least id."""
     wanted = F.when(F.col(label) > 0, 1).when(F.col(label) <= 0, 0)
     known = labels.select("doc_id", wanted.alias("y")).filter("doc_id IS NOT NULL AND y IS NOT NULL")
     known = known.groupBy("doc_id").agg(F.max("y").alias("y"))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = [known.filter(F.col("y") == y).orderBy(*order).limit(per_class) for y in (0, 1)]
-    ids = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most 2 * per_class rows
-    sample = docs.select("doc_id", "text").join(ids, "doc_id")
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             words = Sentences(part.column("text"))
             least = per_text(np.minimum, *words.words.shingles(words.whole, 3), 0).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(least)], names=[*part.schema.names, "key"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(least)], names=["doc_id", "key"])
 
-    sample = sample.mapInArrow(keys, "doc_id long, text string, y int, key long")
-    return cut_lineage(sample.dropDuplicates(["key", "y"]).repartition(SAMPLE_PARTS))
+    # Only ids and keys are dealt to find the documents; then their texts, once.
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    asked = IdFilter.of(known.select(F.col("doc_id").cast("long")))
+    keyed = asked.passed(docs, "doc_id").mapInArrow(keys, "doc_id long, key long").join(known, "doc_id")
+    single = stored(keyed.groupBy("key", "y").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "y").distinct())
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    chosen = [single.filter(F.col("y") == y).orderBy(*order).limit(per_class) for y in (0, 1)]
+    picked = chosen[0].unionByName(chosen[1]).select("doc_id", F.lit(True).alias("picked"))
+    single = single.join(F.broadcast(picked), "doc_id", "left")  # at most 2 * per_class rows
+    single = stored(single.withColumn("picked", F.coalesce("picked", F.lit(False))))
+    texts = IdFilter.of(single.select("doc_id")).passed(docs, "doc_id")
+    return stored(texts.join(single, "doc_id"))
 
 
 def _gradients(sample: DataFrame, task) -> tuple[np.ndarray, np.ndarray]:
@@ -220,11 +229,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     if len(totals) < 2:
         blank.prior = float(1 in totals)
         return blank
-    sample = labelled(docs, labels, label, per_class)
+    pool = labelled(docs, labels, label, per_class)
+    sample = cut_lineage(pool.filter("picked").repartition(SAMPLE_PARTS))
     have = {row["y"]: row["count"] for row in sample.groupBy("y").count().collect()}
     if len(have) < 2:
         blank.prior = totals[1] / sum(totals.values())
         return blank
+    every = {row["y"]: row["count"] for row in pool.groupBy("y").count().collect()}
+
     def documents_with(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             words = Sentences(part.column("text"))
@@ -235,30 +247,34 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
             new = np.ones(len(codes), bool)
             new[1:] = (codes[1:] != codes[:-1]) | (owner[1:] != owner[:-1])
             toxic = part.column("y").to_numpy()[owner[new]]
+            fits = part.column("picked").to_numpy(zero_copy_only=False)[owner[new]] & (toxic > 0)
             codes, first = np.unique(codes[new], return_index=True)
             seen = np.diff(np.append(first, len(toxic)))
-            hits = np.add.reduceat(toxic, first) if len(first) else toxic
+            hits, fits = (np.add.reduceat(x.astype(np.int64), first) if len(first) else seen for x in (toxic, fits))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(codes.astype(np.int64)), pa.array(hits, pa.int64()), pa.array(seen, pa.int64())],
-                names=["code", "toxic", "seen"],
+                [pa.array(codes.astype(np.int64)), *(pa.array(x, pa.int64()) for x in (hits, seen, fits))],
+                names=["code", "toxic", "seen", "fits"],
             )
 
-    rate = have[1] / sum(have.values())
-    # A feature of toxic documents alone must be in four of them, or in one of forty; any must be
-    # several times as frequent in toxic documents as in others.
-    least = max(4, have[1] / 40)
-    need = min(EVIDENCE, float(np.sqrt(least * (1 - rate) / rate)))
+    rate = every[1] / sum(every.values())
     toxic, seen = F.col("toxic"), F.col("seen")
-    evidence = (
-        sample.mapInArrow(documents_with, "code long, toxic long, seen long")
+    counted = (
+        pool.mapInArrow(documents_with, "code long, toxic long, seen long, fits long")
         .groupBy("code")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("seen").alias("seen"))
-        .filter(
-            (F.col("code") != 0)
-            & (toxic >= 4)
-            & (toxic * have[0] >= TIMES * (seen - toxic) * have[1])
-            & (toxic - rate * seen >= need * F.sqrt(rate * (1 - rate) * seen))
-        )
+        .agg(F.sum("toxic").alias("toxic"), F.sum("seen").alias("seen"), F.sum("fits").alias("fits"))
+        .filter((F.col("code") != 0) & (seen >= LEAST_SEEN))
+    )
+    counted = stored(counted)
+    # As many toxic documents have a feature by chance with a probability of exp(-seen * divergence)
+    # at most; of all features tested, few may pass by chance.
+    bound = float(np.log(max(1, counted.count() / BY_CHANCE)))
+    share = toxic / seen
+    divergence = share * F.log(share / rate) + F.when(toxic < seen, (1 - share) * F.log((1 - share) / (1 - rate))).otherwise(0.0)
+    evidence = counted.filter(
+        (toxic >= LEAST_SEEN)
+        & (F.col("fits") > 0)
+        & (toxic * every[0] >= TIMES * (seen - toxic) * every[1])
+        & (seen * divergence >= bound)
     )
     # No more than the features of the sample's toxic documents.
     evidence = np.array(sorted(row["code"] for row in evidence.collect()), np.int64).view(np.uint64)

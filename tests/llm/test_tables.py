@@ -1,10 +1,12 @@
 """Operators on tables: shuffles, mixtures, nearest vectors, toxicity; the registered SQL."""
 
+import itertools
 import math
 import random
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,3 +175,75 @@ def test_pipeline_takes_odd_rows(spark, edge_docs, tmp_path):
         out.write.parquet(f"{tmp_path}/{name}")
         docs = spark.read.parquet(f"{tmp_path}/{name}")
     assert docs.filter("NOT decodes").isEmpty()
+
+
+def test_pipeline_keeps_other_texts_of_an_id(spark):
+    base, other = (" ".join(f"{c}{k}" for k in range(60)) for c in "ab")
+    rows = [(0, base, "s"), (1, base, "s"), (1, other, "s"), (1, other, "s"), (5, other + " x", "s"), (5, other + " y", "s"), (6, None, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert sorted((r.doc_id, r.text) for r in kept.filter("text IS NOT NULL").collect()) == [(0, base), (1, other)]
+    assert kept.filter("text IS NULL").count() == 1
+
+
+def test_mixture_survives_another_split_of_the_files(spark, tmp_path):
+    rows = [(k, "w " * (k % 50), f"s{k % 3}") for k in range(3000)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(2).write.parquet(path)
+    found = []
+    for size in ("4k", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            mixed = corpus_pipeline.mix_sources(spark, spark.read.parquet(path), "")
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+            found.append(Counter((r.doc_id, r.text) for r in mixed.collect()))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found[0] == found[1]
+    assert all(text == "w " * (k % 50) for k, text in found[0])
+
+
+def test_chain_sums_match_enumeration():
+    rnd = np.random.default_rng(6)
+    potential, chain = rnd.normal(size=7), rnd.normal(size=(2, 2))
+    first = np.array([True, False, False, True, True, False, False])
+    forward, backward, matrices = toxicity.forward_backward(potential, chain, first)
+    both = forward * backward
+    have = both[1] / both.sum(axis=0)
+    inner = np.flatnonzero(~first)
+    joint = forward[:, None, inner - 1] * matrices[..., inner] * backward[None, :, inner]
+    joint /= joint.sum(axis=(0, 1))
+    want, pairs, total = np.zeros(7), np.zeros((2, 2, 7)), 0.0
+    for path in itertools.product((0, 1), repeat=7):
+        value = sum(potential[k] * y for k, y in enumerate(path))
+        value += sum(chain[path[k - 1], path[k]] for k in range(1, 7) if not first[k])
+        weight = math.exp(value)
+        total += weight
+        want += weight * np.array(path)
+        for k in inner:
+            pairs[path[k - 1], path[k], k] += weight
+    assert have == pytest.approx(want / total)
+    assert joint == pytest.approx(pairs[..., inner] / total)
+
+
+def test_toxic_words_of_a_small_language(spark):
+    """One language has a fiftieth of the labels, and each of its words for offence few of those."""
+    rnd = random.Random(9)
+    vocabulary = {"a": [f"al{k}" for k in range(300)], "b": [f"bo{k}" for k in range(300)]}
+    slurs = {"a": ["zonk", "grub", "vexx"], "b": ["quorr", "plift", "dremm"]}
+    rows, labels = [], []
+    for k in range(3000):
+        lang, bad = ("b" if k % 20 == 0 else "a"), rnd.random() < 0.15
+        words = [rnd.choice(vocabulary[lang]) for _ in range(40)]
+        if bad:
+            for _ in range(2):
+                words[rnd.randrange(40)] = rnd.choice(slurs[lang])
+        rows.append((k, " ".join(words), lang))
+        labels.append((k, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels.filter("doc_id % 5 != 0 OR doc_id % 20 = 0"), per_class=150)
+    found = toxicity.score(docs, model).join(labels, "doc_id").select("lang", "toxic", "toxic_score").collect()
+    for lang in "ab":
+        right = [(r.toxic_score >= 0.5) == (r.toxic == 1) for r in found if r.lang == lang]
+        assert sum(right) >= 0.97 * len(right)
