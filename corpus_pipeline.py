@@ -25,12 +25,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the least, of each group of near-duplicates; one row of rows that are repeated."""
-    if not docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").isEmpty():
-        single = docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
-        docs = single.unionByName(docs.filter("doc_id IS NULL"))
-    gone = minhash.near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row, of the least document, of each group of near-duplicates; one of rows that are repeated.
+
+    Rows count by id and text: another text under the id of a copy stays."""
+    text = F.xxhash64("text")
+    found = minhash.near_duplicates(docs.select("doc_id", "text", text.alias("_key")), carry="_key")
+    stays = found.filter("kept").groupBy("group").agg(F.min("_key").alias("_key"))
+    # All rows of a group but the one that stays; rows without shingles are in no group.
+    stays = stays.filter("group IS NOT NULL").select(F.col("group").alias("_of"), F.col("_key").alias("_stays"))
+    gone = found.join(stays, F.col("group") == F.col("_of")).filter("NOT kept OR _key != _stays")
+    gone = gone.select("doc_id", "_key").distinct()
+    kept = docs.withColumn("_key", text).join(gone, ["doc_id", "_key"], "left_anti").select(*docs.columns)
+    if kept.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").isEmpty():
+        return kept
+    single = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
+    return single.unionByName(kept.filter("doc_id IS NULL"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +54,10 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    # The documents were read from files, so both uses below number their rows alike.
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    # Numbered once, in a table: both uses below must see the same numbers.
+    path = run_dir(spark, "numbered")
+    docs.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
     narrow = rows.select("_row", "doc_id", "source", n_words(F.col("text")).alias("size"))
     taken = mixing.mix(narrow, F.col("size")).filter("copies > 0").select("_row", "copies")
     again = F.explode(F.sequence(F.lit(1), F.col("copies")))
