@@ -22,10 +22,11 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablestream.session import cut_lineage
+from tablestream.sources.writers import TEXT_TIMES
 
 #: Cells of one stretch at most, as periods times slices.
 STRETCH_CELLS = 1_000_000
@@ -127,6 +128,11 @@ def _steps(period: int, slices: int, stretch: int, keys: list[str]):
     return leaving, crossing, arriving, entering, walking, emitting
 
 
+def _as_text(keys: list[str]) -> Column:
+    """The key columns as one text that is never NULL, so that joins find NULL keys too."""
+    return F.to_json(F.struct(*keys), {**TEXT_TIMES, "ignoreNullFields": "false"})
+
+
 def _slices_for(times: DataFrame, keys: list[str], slice_rows: int) -> int:
     """Slices so that the largest key has about ``slice_rows`` rows in each."""
     per_key = times.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
@@ -163,12 +169,14 @@ def cooldown(
     Of rows with equal key and time the one with the smallest ``tie`` counts as first, and of
     copies that agree in all three any one. An event exactly ``seconds`` after the last emitted
     one is emitted again. ``last_sent`` (keys and ``last_sent``) continues from earlier batches.
-    Key columns must not be NULL.
+    NULL is a key like any other.
     """
     period = seconds * 1_000_000
-    rows = df.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
+    columns, keys_as_text = df.columns, _as_text(keys)
+    rows = df.withColumns({"_us": F.unix_micros(F.col(ts).cast("timestamp")), "_key": keys_as_text})
+    keys = ["_key"]
     if last_sent is not None:
-        since = last_sent.select(*keys, F.unix_micros("last_sent").alias("_since"))
+        since = last_sent.select(keys_as_text.alias("_key"), F.unix_micros("last_sent").alias("_since"))
         rows = (
             rows.join(since, keys, "left")
             .filter(F.col("_since").isNull() | (F.col("_us") >= F.col("_since") + period))
@@ -192,7 +200,7 @@ def cooldown(
         sliced = times.withColumn("_part", F.lit(0))
     sliced = sliced.select(*keys, "_part", "_us", "_tie")
 
-    ddl = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    ddl = "_key string"
     tie_type = df.schema[tie].dataType.simpleString()
     stretch = max(1, stretch_cells // slices) * slices
     leave, cross, arrive, enter, walk, emit = _steps(period, slices, stretch, keys)
@@ -223,4 +231,4 @@ def cooldown(
         .withColumnRenamed("_tie", tie)
     )
     emitted = rows.join(sent, [*keys, "_us", tie], "left_semi")
-    return emitted.dropDuplicates([*keys, "_us", tie]).drop("_us")
+    return emitted.dropDuplicates([*keys, "_us", tie]).select(*columns)

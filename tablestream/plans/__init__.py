@@ -6,6 +6,7 @@ from tablestream.plans import (
     quality,
     sales,
     service,
+    state,
     storage,
     streams,
     weather,
@@ -13,6 +14,6 @@ from tablestream.plans import (
 from tablestream.plans.registry import ORACLES, QUERIES
 
 __all__ = [
-    "ORACLES", "QUERIES", "alerts", "changes", "quality", "sales", "service", "storage", "streams",
-    "weather",
+    "ORACLES", "QUERIES", "alerts", "changes", "quality", "sales", "service", "state", "storage",
+    "streams", "weather",
 ]
