@@ -269,8 +269,8 @@ def _frequent(listed: DataFrame, least: int) -> tuple[DataFrame, int]:
     spread = listed.repartitionByRange("lang", "word")
     # The ranges keep each word together, in at most one row a block.
     total = F.sum("counts").over(Window.partitionBy("lang", "word"))
-    kept = spread.withColumn("f", total).filter(F.col("f") >= least)
-    kept = kept.sortWithinPartitions("lang", "word", "block").withColumn("place", F.spark_partition_id())
+    every = spread.withColumn("f", total)
+    every = every.sortWithinPartitions("lang", "word", "block").withColumn("place", F.spark_partition_id())
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, at = None, 0
@@ -284,8 +284,11 @@ def _frequent(listed: DataFrame, least: int) -> tuple[DataFrame, int]:
                 new[1:] = ~same.to_numpy(zero_copy_only=False)
             new[0] = last != (lang[0].as_py(), word[0].as_py())
             last = (lang[-1].as_py(), word[-1].as_py())
+            often = batch.column("f").to_numpy() >= least
+            new &= often
             local = at + np.cumsum(new)
             at = int(local[-1])
+            local[~often] = 0
             # The name goes with the first row of a word.
             names = [pa.array(np.where(new, column.to_numpy(zero_copy_only=False), None), pa.string()) for column in (lang, word)]
             yield pa.RecordBatch.from_arrays(
@@ -293,8 +296,9 @@ def _frequent(listed: DataFrame, least: int) -> tuple[DataFrame, int]:
                 names=["block", "pos", "lang", "word", "f", "place", "local"],
             )
 
-    kept = kept.select("block", "pos", "lang", "word", "f", "place")
-    kept = stored(kept.mapInArrow(number, "block long, pos int, lang string, word string, f long, place int, local long"))
+    every = every.select("block", "pos", "lang", "word", "f", "place")
+    numbers = every.mapInArrow(number, "block long, pos int, lang string, word string, f long, place int, local long")
+    kept = stored(numbers).filter("local > 0")
     sizes = kept.groupBy("place").agg(F.max("local").alias("size")).orderBy("place").collect()  # one row a partition
     before = dict(zip((r["place"] for r in sizes), np.cumsum([0] + [r["size"] for r in sizes]).tolist(), strict=False))
     if not before:
