@@ -1,15 +1,21 @@
 """Keyed changes, unique loads and versioned snapshots on plain tables.
 
-All of them return the new state; write it to a new place (or replace its partitions), never over
-the table being read.
+The plain functions return the new state; write it to a new place, never over the table being read.
+Those on bucketed tables replace the partitions that are touched, from a copy written before.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tablestream.session import cut_lineage
+from tablestream.sources.files import exists, remove
+from tablestream.sources.writers import write_partitions
+
 
 def _existence_after(op: Column) -> Column:
     """Whether the key exists after an insert or delete; NULL for an update, which keeps it."""
@@ -82,7 +88,8 @@ def apply_changes(
     on (or, for an insert, found one), with a ``reason``. NULL is a key like any other.
     """
     fields = [name for name in target.columns if name != key]
-    marked = _with_existence(target, changes, key, seq, block_rows)
+    # Used for the state and for what is rejected.
+    marked = cut_lineage(_with_existence(target, changes, key, seq, block_rows))
     applies = F.when(F.col("op") == "I", ~F.col("_exists")).otherwise(F.col("_exists"))
     reason = F.when(F.col("op") == "I", "exists").otherwise("missing")
     rejected = marked.filter(~applies).drop("_exists").withColumn("reason", reason)
@@ -158,19 +165,22 @@ def snapshot(
     """Versioned history: a row newer than the open version of its key closes it and opens another.
 
     ``valid_from`` and ``valid_to`` bound a version, an open one has no ``valid_to``. Keys that
-    are not in ``current`` stay open.
+    are not in ``current`` stay open. Of several rows of a key in ``current`` the newest counts, and
+    of those with equal times the one with the greatest other columns. NULL is a key like any other.
     """
     columns = current.columns
-    opened = current.withColumn("valid_from", F.col(updated_at)).withColumn(
-        "valid_to", F.lit(None).cast(current.schema[updated_at].dataType)
+    others = [name for name in columns if name not in (key, updated_at)]
+    newest = current.groupBy(F.col(key)).agg(F.max(F.struct(updated_at, *others)).alias("_row"))
+    opened = newest.select(F.col(key), "_row.*").select(*columns).withColumns(
+        {"valid_from": F.col(updated_at), "valid_to": F.lit(None).cast(current.schema[updated_at].dataType)}
     )
     if history is None:
         return opened
     names = [*columns, "valid_from", "valid_to"]
     old = history.filter(F.col("valid_to").isNull()).select(
-        F.col(key), F.struct(*names).alias("_old")
+        F.col(key).alias("_was_key"), F.struct(*names).alias("_old")
     )
-    new = opened.select(F.col(key), F.struct(*names).alias("_new"))
+    new = opened.select(F.col(key).alias("_now_key"), F.struct(*names).alias("_new"))
     was, now = F.col("_old"), F.col("_new")
     newer = now[updated_at] > was[updated_at]
     versions = (
@@ -178,10 +188,79 @@ def snapshot(
         .when(newer, F.array(was.withField("valid_to", now[updated_at]), now))
         .otherwise(F.array(was))
     )
-    moved = old.join(new, key, "full_outer").select(F.explode(versions).alias("_row"))
+    same_key = F.col("_was_key").eqNullSafe(F.col("_now_key"))
+    moved = old.join(new, same_key, "full_outer").select(F.explode(versions).alias("_row"))
     closed = history.filter(F.col("valid_to").isNotNull()).select(*names)
     return closed.unionByName(moved.select("_row.*"))
 
 
+BUCKET = "bucket"
+
+
+def with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """The rows with the partition that their key belongs to; a NULL key has one too."""
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+
+
+def create_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
+    """A table whose rows lie in ``buckets`` partitions by their key."""
+    write_partitions(with_bucket(df, key, buckets), path, [BUCKET], [key])
+
+
+def _rewritten(
+    spark: SparkSession, path: str, touched: DataFrame, staged: str, compute: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Replace the partitions of ``touched`` by what ``compute`` makes of their rows.
+
+    The new rows are first written apart, and that copy is used as it is when the same batch is
+    repeated: then only the replacement, which may be done twice, is done again. Partitions that are
+    not touched keep their files.
+    """
+    if not exists(spark, f"{staged}/touched/_SUCCESS"):
+        numbers = sorted(r[0] for r in touched.select(BUCKET).distinct().collect())  # at most all buckets
+        rows = spark.read.parquet(path).filter(F.col(BUCKET).isin(numbers))
+        compute(rows.drop(BUCKET)).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{staged}/rows")
+        named = spark.createDataFrame([(n,) for n in numbers], f"{BUCKET} int")
+        named.coalesce(1).write.mode("overwrite").parquet(f"{staged}/touched")
+    numbers = [r[0] for r in spark.read.parquet(f"{staged}/touched").collect()]
+    if not numbers:
+        return
+    schema = spark.read.parquet(path).schema
+    new = spark.read.schema(schema).parquet(f"{staged}/rows")
+    write_partitions(new, path, [BUCKET])
+    left = {r[0] for r in new.select(BUCKET).distinct().collect()}
+    for number in numbers:
+        # A partition without rows is not among those that a write replaces.
+        if number not in left:
+            remove(spark, f"{path}/{BUCKET}={number}")
+
+
+def apply_to_buckets(
+    spark: SparkSession, path: str, changes: DataFrame, key: str, seq: str, buckets: int, staged: str
+) -> DataFrame:
+    """``apply_changes`` on a bucketed table, of which only the partitions with changed keys are read
+    and rewritten. Returns the rejected changes. ``staged`` is a folder of this batch of changes; with
+    it a batch that was interrupted can be repeated."""
+
+    def compute(rows: DataFrame) -> DataFrame:
+        state, rejected = apply_changes(rows, changes, key, seq)
+        rejected.write.mode("overwrite").parquet(f"{staged}/rejected")
+        return with_bucket(state, key, buckets)
+
+    _rewritten(spark, path, with_bucket(changes, key, buckets), staged, compute)
+    return spark.read.parquet(f"{staged}/rejected")
+
+
+def snapshot_to_buckets(
+    spark: SparkSession, path: str, current: DataFrame, key: str, updated_at: str, buckets: int, staged: str
+) -> None:
+    """``snapshot`` on a bucketed history: only partitions with a key of ``current`` are rewritten."""
+
+    def compute(rows: DataFrame) -> DataFrame:
+        return with_bucket(snapshot(rows, current, key, updated_at), key, buckets)
+
+    _rewritten(spark, path, with_bucket(current, key, buckets), staged, compute)
+
+
 def add_rows(existing: DataFrame, new: DataFrame) -> DataFrame:
     return existing.unionByName(new)

@@ -15,6 +15,26 @@ def rank_newest(df: DataFrame, key: str, ts: str, tie: str, name: str = "row_num
     return number_rows(df, [key], [F.desc(ts), F.desc(tie)], name)
 
 
+def rank_by_period(
+    df: DataFrame, key: str, ts: str, period: str = "minute", name: str = "row_num"
+) -> DataFrame:
+    """``rank_newest`` as a plan that runs when it is read, for a bounded stretch of time.
+
+    Rows are ranked within their period, and the counts of newer periods are added: a task holds a
+    period of a key or, of a key, one count a period. Equal times are ordered by the other columns.
+    """
+    names = ["_period", "_of", "_in", "_newer"]
+    rest = [F.col(c) for c in df.columns if c not in (key, ts)]
+    rows = df.withColumn("_period", F.date_trunc(period, ts))
+    counts = rows.groupBy(F.col(key).alias("_of"), F.col("_period").alias("_in")).agg(F.count(F.lit(1)).alias("_n"))
+    newer = Window.partitionBy("_of").orderBy(F.desc("_in")).rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("_of", "_in", F.coalesce(F.sum("_n").over(newer), F.lit(0)).alias("_newer"))
+    inside = Window.partitionBy(key, "_period").orderBy(F.desc(ts), *rest)
+    same = F.col(key).eqNullSafe(F.col("_of")) & F.col("_period").eqNullSafe(F.col("_in"))
+    ranked = rows.withColumn(name, F.row_number().over(inside)).join(before, same)
+    return ranked.withColumn(name, F.col(name) + F.col("_newer")).drop(*names)
+
+
 def newest_per_key(df: DataFrame, keys: list[str], ts: str, tie: str) -> DataFrame:
     """The newest row of each key, the one with the largest ``tie`` among equals.
 

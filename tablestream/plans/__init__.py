@@ -9,11 +9,12 @@ from tablestream.plans import (
     state,
     storage,
     streams,
+    tables,
     weather,
 )
 from tablestream.plans.registry import ORACLES, QUERIES
 
 __all__ = [
     "ORACLES", "QUERIES", "alerts", "changes", "quality", "sales", "service", "state", "storage",
-    "streams", "weather",
+    "streams", "tables", "weather",
 ]

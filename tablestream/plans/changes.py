@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tablestream.operators import changes
 from tablestream.plans.fixtures import plain, table
 from tablestream.plans.registry import query
+from tablestream.session import run_dir
+
+BUCKETS = 16
 
 CHANGES = """
 target AS (SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer),
@@ -48,7 +51,7 @@ def _target_and_changes(spark: SparkSession, data: str) -> tuple[DataFrame, Data
     return target, log
 
 
-@query(f"""
+CHANGED = f"""
 WITH {CHANGES},
 life AS (
   SELECT id, max(seq) FILTER (WHERE op <> 'U') AS start,
@@ -63,13 +66,30 @@ SELECT id, coalesce(f.name, CASE WHEN turn IS NULL THEN t.name END) AS name,
        coalesce(f.balance, CASE WHEN turn IS NULL THEN t.balance END) AS balance
 FROM target t FULL JOIN life l USING (id) LEFT JOIN fields f USING (id)
 WHERE turn IS NULL OR turn <> 'D'
-""")
+"""
+
+
+@query(CHANGED)
 def apply_changes(spark: SparkSession, data: str) -> DataFrame:
     target, log = _target_and_changes(spark, data)
     state, _ = changes.apply_changes(target, log, "id", "seq")
     return state
 
 
+@query(CHANGED)
+def apply_changes_to_buckets(spark: SparkSession, data: str) -> DataFrame:
+    """The log in three batches, each on the partitions it touches; the second is repeated."""
+    target, log = _target_and_changes(spark, data)
+    path, staged = run_dir(spark, "bucketed"), run_dir(spark, "staged")
+    changes.create_bucketed(target, path, "id", BUCKETS)
+    borders = log.agg(F.percentile_approx("seq", [0.4, 0.7])).first()[0] or [0, 0]
+    batch = sum(((F.col("seq") > b).cast("int") for b in borders), F.lit(0))
+    for number in (0, 1, 1, 2):
+        part = log.filter(batch == number)
+        changes.apply_to_buckets(spark, path, part, "id", "seq", BUCKETS, f"{staged}/{number}")
+    return spark.read.parquet(path).select("id", "name", "balance")
+
+
 @query(f"""
 WITH {CHANGES}
 SELECT id, seq, op, CASE WHEN op = 'I' THEN 'exists' ELSE 'missing' END AS reason
@@ -133,3 +153,50 @@ def snapshot_scd2(spark: SparkSession, data: str) -> DataFrame:
         changes.snapshot(history, second, "o_orderkey", "updated_at"),
         "updated_at", "valid_from", "valid_to",
     )
+
+
+NULL_KEYS = """
+first AS (
+  SELECT CASE WHEN o_orderkey % 50 <> 0 THEN o_custkey END AS customer, o_orderkey, o_totalprice,
+         o_orderdate AS updated_at
+  FROM orders WHERE o_orderkey % 5 <> 0),
+second AS (
+  SELECT CASE WHEN o_orderkey % 50 <> 0 THEN o_custkey END AS customer, o_orderkey, o_totalprice + 1 AS o_totalprice,
+         o_orderdate + INTERVAL 30 DAY AS updated_at
+  FROM orders WHERE o_orderkey % 4 = 0),
+f AS (
+  SELECT * FROM first QUALIFY row_number() OVER (
+    PARTITION BY customer ORDER BY updated_at DESC, o_orderkey DESC, o_totalprice DESC) = 1),
+s AS (
+  SELECT * FROM second QUALIFY row_number() OVER (
+    PARTITION BY customer ORDER BY updated_at DESC, o_orderkey DESC, o_totalprice DESC) = 1)
+"""
+
+
+@query(f"""
+WITH {NULL_KEYS}
+SELECT f.customer, f.o_orderkey, f.o_totalprice, f.updated_at, f.updated_at AS valid_from,
+       CASE WHEN s.updated_at > f.updated_at THEN s.updated_at END AS valid_to
+FROM f LEFT JOIN s ON s.customer IS NOT DISTINCT FROM f.customer
+UNION ALL
+SELECT s.customer, s.o_orderkey, s.o_totalprice, s.updated_at, s.updated_at, NULL
+FROM s LEFT JOIN f ON s.customer IS NOT DISTINCT FROM f.customer
+WHERE f.updated_at IS NULL OR s.updated_at > f.updated_at
+""")
+def snapshot_repeated_keys(spark: SparkSession, data: str) -> DataFrame:
+    """Keys that are NULL or come several times in a load, on a bucketed history."""
+    number = F.col("o_orderkey")
+    orders = table(spark, data, "orders").select(
+        F.when(number % 50 != 0, F.col("o_custkey")).alias("customer"), "o_orderkey", "o_totalprice",
+        F.col("o_orderdate").alias("updated_at"),
+    )
+    later = F.col("updated_at") + F.expr("INTERVAL 30 DAY")
+    second = orders.filter(number % 4 == 0).withColumns(
+        {"o_totalprice": F.col("o_totalprice") + 1, "updated_at": later}
+    )
+    path, staged = run_dir(spark, "history"), run_dir(spark, "staged")
+    history = changes.snapshot(None, orders.filter(number % 5 != 0), "customer", "updated_at")
+    changes.create_bucketed(history, path, "customer", BUCKETS)
+    for _ in range(2):  # the same load again opens no second version
+        changes.snapshot_to_buckets(spark, path, second, "customer", "updated_at", BUCKETS, staged)
+    return plain(spark.read.parquet(path).drop("bucket"), "updated_at", "valid_from", "valid_to")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from tablestream.operators import aggregates, ranking
 from tablestream.plans.fixtures import plain, readings, rounded, text
 from tablestream.plans.registry import query
 from tablestream.plans.weather import LONG_STATS, READINGS
-from tablestream.sources.readers import register_views
+from tablestream.sources.readers import named_views
 
 CONDITION = """CASE event_id % 4 WHEN 0 THEN 'Light Rain' WHEN 1 THEN 'Clouds'
                     WHEN 2 THEN 'Clear' ELSE 'shower rain' END"""
@@ -20,16 +21,29 @@ CONDITION = """CASE event_id % 4 WHEN 0 THEN 'Light Rain' WHEN 1 THEN 'Clouds'
 BATCH = f"{READINGS}, batch AS (SELECT *, {CONDITION} AS weather_condition FROM readings)"
 
 
-def _tables(spark: SparkSession, data: str) -> None:
-    """The detail table and the long daily statistics, which every read prefers."""
-    batch = readings(spark, data).withColumns(
-        {
-            "weather_condition": F.expr(CONDITION),
-            "processing_date": F.to_date("measurement_time"),
-        }
-    )
-    stats = aggregates.metric_stats(batch, "city_name", "measurement_time")
-    register_views({weather.BATCH: batch, weather.ANALYTICS: stats})
+VIEWS = [
+    "latest_weather", "daily_summary", "city_comparison", "weather_trends", "current_weather_view",
+    "daily_weather_view", "weather_trends_view", "weather_alerts_view", "realtime_weather_view",
+]
+
+
+def _on_tables(run):
+    """Run a query on the detail table and the long daily statistics, which every read prefers, as
+    views that are gone afterwards."""
+
+    @wraps(run)
+    def on_tables(spark: SparkSession, data: str) -> DataFrame:
+        batch = readings(spark, data).withColumns(
+            {
+                "weather_condition": F.expr(CONDITION),
+                "processing_date": F.to_date("measurement_time"),
+            }
+        )
+        stats = aggregates.metric_stats(batch, "city_name", "measurement_time")
+        with named_views(spark, {weather.BATCH: batch, weather.ANALYTICS: stats}, VIEWS):
+            return run(spark, data)
+
+    return on_tables
 
 
 @query(f"""
@@ -44,8 +58,8 @@ ORDER BY measurement_time DESC, city_name, temperature, humidity, pressure, wind
          weather_condition
 LIMIT 100
 """)
+@_on_tables
 def read_weather(spark: SparkSession, data: str) -> DataFrame:
-    _tables(spark, data)
     rows = weather.weather_data(spark, "2024-01-10", "2024-01-25", "click")
     return plain(text(rows, "measurement_date"), "measurement_time")
 
@@ -57,8 +71,8 @@ SELECT city_name, strftime(d, '%Y-%m-%d') AS date, metric_type AS metric,
        round(round(std_dev, 9), 6) AS std_dev
 FROM daily WHERE metric_type = 'wind_speed' AND d BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'
 """)
+@_on_tables
 def read_stats(spark: SparkSession, data: str) -> DataFrame:
-    _tables(spark, data)
     days = weather.weather_stats(spark, "wind_speed", "2024-01-05", "2024-01-25")
     return text(rounded(days, "avg_value", "std_dev"), "date")
 
@@ -78,8 +92,8 @@ SELECT city_name, CAST(points AS INTEGER) AS points, round(round(last_value, 9),
          AS trend_direction
 FROM slopes
 """)
+@_on_tables
 def read_trend(spark: SparkSession, data: str) -> DataFrame:
-    _tables(spark, data)
     trends = weather.weather_trend(spark, "humidity", 14, date(2024, 1, 30))
     flat = trends.select(
         "city_name",
@@ -105,8 +119,8 @@ FROM batch
 WHERE measurement_time BETWEEN TIMESTAMP '2024-01-28 12:00:00' AND TIMESTAMP '2024-01-30 12:00:00'
   AND (temperature > 35 OR temperature < 5 OR wind_speed > 15 OR humidity > 90)
 """)
+@_on_tables
 def read_alerts(spark: SparkSession, data: str) -> DataFrame:
-    _tables(spark, data)
     found = weather.weather_alerts(spark, 48, datetime(2024, 1, 30, 12))
     return found.select("city_name", "timestamp", "alert_type", "alert_level", "value")
 
@@ -127,8 +141,8 @@ SELECT city_name, strftime(d + INTERVAL 365 DAY, '%Y-%m-%d') AS forecast_date,
                    / count(*), 9), 6) AS precipitation_probability
 FROM history JOIN common USING (city_name, d) GROUP BY city_name, d
 """)
+@_on_tables
 def read_forecast(spark: SparkSession, data: str) -> DataFrame:
-    _tables(spark, data)
     ahead = weather.weather_forecast(spark, 14, date(2025, 1, 5)).drop("temperature_avg")
     return text(rounded(ahead, "humidity", "precipitation_probability"), "forecast_date")
 
@@ -141,8 +155,8 @@ FROM batch
 QUALIFY row_number() OVER (PARTITION BY city_name ORDER BY measurement_time DESC,
                            temperature DESC, humidity DESC) = 1
 """)
+@_on_tables
 def view_latest(spark: SparkSession, data: str) -> DataFrame:
-    _tables(spark, data)
     weather.create_views(spark, "2024-01-31")
     return spark.table("latest_weather")
 
@@ -156,8 +170,8 @@ SELECT city_name, strftime(d, '%Y-%m-%d') AS date, metric_type,
              ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 9), 6) AS moving_avg_7day
 FROM daily
 """)
+@_on_tables
 def view_trends(spark: SparkSession, data: str) -> DataFrame:
-    _tables(spark, data)
     weather.create_views(spark, "2024-01-31")
     rows = spark.sql("SELECT city_name, date, metric_type, unit, moving_avg_7day FROM weather_trends")
     return text(rounded(rows, "moving_avg_7day"), "date")
@@ -191,8 +205,8 @@ SELECT city_name, strftime(d, '%Y-%m-%d') AS date, round(round(v, 9), 6) AS avg_
        CASE WHEN a > b THEN 'increasing' WHEN a < b THEN 'decreasing' ELSE 'stable' END AS temp_trend
 FROM weeks
 """)
+@_on_tables
 def report_trends(spark: SparkSession, data: str) -> DataFrame:
-    _tables(spark, data)
     weather.create_report_views(spark, datetime(2024, 1, 31))
     rows = spark.table("weather_trends_view").select(
         "city_name", "date", "avg_temp", "temp_7day_moving_avg", "temp_trend"
@@ -212,12 +226,27 @@ FROM batch
 WHERE measurement_time >= TIMESTAMP '2024-01-29 12:00:00'
   AND (temperature > 35 OR temperature < 5 OR wind_speed > 15 OR humidity > 90)
 """)
+@_on_tables
 def report_alerts(spark: SparkSession, data: str) -> DataFrame:
-    _tables(spark, data)
     weather.create_report_views(spark, datetime(2024, 1, 30, 12))
     return spark.table("weather_alerts_view")
 
 
+@query(f"""
+WITH {BATCH}
+SELECT city_name, event_id, measurement_time, temperature, wind_speed,
+       row_number() OVER (PARTITION BY city_name ORDER BY measurement_time DESC, event_id) AS row_num
+FROM batch WHERE CAST(measurement_time AS DATE) = DATE '2024-01-30'
+""")
+@_on_tables
+def report_current(spark: SparkSession, data: str) -> DataFrame:
+    weather.create_report_views(spark, datetime(2024, 1, 30, 12))
+    return spark.table("current_weather_view").select(
+        "city_name", "event_id", "measurement_time", "temperature", "wind_speed",
+        F.col("row_num").cast("long").alias("row_num"),
+    )
+
+
 NULLED = "CASE WHEN event_id % 7 <> 0 THEN city_name END"
 
 

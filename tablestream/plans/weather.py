@@ -25,7 +25,7 @@ from tablestream.plans.fixtures import (
 )
 from tablestream.plans.registry import query
 from tablestream.schemas import RAW_WEATHER, READING_MESSAGE
-from tablestream.sources.readers import decode_json, register_views, resolve_table
+from tablestream.sources.readers import decode_json, named_views, resolve_table
 from tablestream.streaming import windows
 
 DAY, TIME = "date", "measurement_time"
@@ -541,6 +541,6 @@ WITH {HOURLY}
 SELECT {HOURLY_OUT} FROM hourly
 """)
 def best_table(spark: SparkSession, data: str) -> DataFrame:
-    register_views({"weather_streaming_hourly": hourly(spark, data)})
-    name = resolve_table(spark, ["weather_analytics_absent", "weather_streaming_hourly"])
-    return _hourly_out(spark.sql(f"SELECT * FROM {name}"))
+    with named_views(spark, {"weather_streaming_hourly": hourly(spark, data)}):
+        name = resolve_table(spark, ["weather_analytics_absent", "weather_streaming_hourly"])
+        return _hourly_out(spark.sql(f"SELECT * FROM {name}"))

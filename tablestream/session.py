@@ -63,3 +63,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str = "rows") -> DataFrame:
+    """The rows as a table in the shared folder, read from there: fixed like a checkpoint, but in
+    compressed columns, of which a later step reads those it needs."""
+    path = run_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -187,6 +188,24 @@ def register_views(views: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
+@contextmanager
+def named_views(spark: SparkSession, views: Mapping[str, DataFrame], made: Iterable[str] = ()) -> Iterator[None]:
+    """Views for a while: their names, and those in ``made``, afterwards mean what they meant before.
+
+    Rows that were read from a view stay readable, as their plan holds what it stood for."""
+    before = {}
+    for name in {*views, *made}:
+        if spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary:
+            before[name] = spark.table(name)
+    register_views(views)
+    try:
+        yield
+    finally:
+        for name in {*views, *made}:
+            spark.catalog.dropTempView(name)
+        register_views(before)
+
+
 def resolve_table(spark: SparkSession, preference: list[str]) -> str:
     """The first table or view of the list that exists."""
     for name in preference:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablestream.functions.predicates import date_range, last
@@ -198,8 +198,7 @@ def create_report_views(spark: SparkSession, as_of: datetime) -> list[str]:
 
     def current() -> DataFrame:
         today = date_range(spark.table(BATCH), "measurement_time", as_of.date(), as_of.date())
-        newest = Window.partitionBy("city_name").orderBy(F.desc("measurement_time"))
-        return today.withColumn("row_num", F.row_number().over(newest))
+        return ranking.rank_by_period(today, "city_name", "measurement_time")
 
     def daily() -> DataFrame:
         return aggregates.daily_summary(spark.table(BATCH), as_of.date(), 30)
