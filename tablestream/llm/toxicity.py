@@ -51,6 +51,8 @@ STEPS = 14
 #: A feature is evidence if at least so many labelled toxic documents have it, if it is so many times
 #: as frequent in them as in others, and if no more than so many of all features pass by chance.
 LEAST_SEEN, TIMES, BY_CHANCE = 4, 8, 20
+#: Text whose features are counted at once.
+COUNT_BYTES = 1 << 19
 #: Marginal from which a word counts in the score of its document.
 SUSPECT = 0.25
 
@@ -238,7 +240,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     every = {row["y"]: row["count"] for row in pool.groupBy("y").count().collect()}
 
     def documents_with(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        # Small slices, as each word has several features, and all of a slice are sorted.
+        for part in slices(batches, "text", COUNT_BYTES):
             words = Sentences(part.column("text"))
             owner = np.broadcast_to(words.words.text, words.codes.shape).ravel()
             codes = words.codes.ravel()
