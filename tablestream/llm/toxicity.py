@@ -51,8 +51,8 @@ STEPS = 14
 #: A feature is evidence if at least so many labelled toxic documents have it, if it is so many times
 #: as frequent in them as in others, and if no more than so many of all features pass by chance.
 LEAST_SEEN, TIMES, BY_CHANCE = 4, 8, 20
-#: Text whose features are counted at once.
-COUNT_BYTES = 1 << 19
+#: Text whose features are counted, and whose words are scored, at once.
+COUNT_BYTES, SCORE_BYTES = 1 << 19, 1 << 20
 #: Marginal from which a word counts in the score of its document.
 SUSPECT = 0.25
 
@@ -351,7 +351,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text):
+        for part in slices(batches, text, SCORE_BYTES):
             words = Sentences(part.column(text))
             p = marginals(words, model)
             if model.prior is None:
