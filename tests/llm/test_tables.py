@@ -247,3 +247,13 @@ def test_toxic_words_of_a_small_language(spark):
     for lang in "ab":
         right = [(r.toxic_score >= 0.5) == (r.toxic == 1) for r in found if r.lang == lang]
         assert sum(right) >= 0.97 * len(right)
+
+
+def test_ids_with_two_vectors_ask_by_the_least(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.5, 2.0]), (1, [1.0, 1.0]), (1, [3.0, 0.0]), (2, [0.0, 5.0])]
+    vectors = spark.createDataFrame(rows * 2, "vec_id long, embedding array<double>").repartition(4)
+    found = topk.nearest(vectors, 3, F.col("vec_id") % 100 == 0).collect()
+    one = 1024 * 1024
+    assert {(r.query_id, r.rank, r.vec_id, r.score) for r in found} == {
+        (0, 1, 2, 10 * one), (0, 2, 1, int(2.5 * one)), (0, 3, 1, int(1.5 * one))
+    }
