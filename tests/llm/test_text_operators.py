@@ -276,3 +276,18 @@ def test_filter_of_ids_lets_all_through(spark):
     assert None not in passed
     assert len(passed) < 11_000
     assert IdFilter.of(spark.range(0)).passed(every, "id").count() == 0
+
+
+@pytest.mark.parametrize("hot", [5, 30, repeats.HOT])
+def test_passages_in_a_third_of_the_rows(spark, hot):
+    """A long passage and a short line between ever new neighbours, in copies that are split."""
+    rnd = random.Random(hot)
+    passage, line = "".join(rnd.choice("abcdef ") for _ in range(260)), "the same forty bytes stand in many texts "
+    rows = []
+    for k in range(240):
+        own = "".join(rnd.choice("xyz uvw") for _ in range(rnd.randrange(0, 90)))
+        rest = "".join(rnd.choice("xyz uvw") for _ in range(rnd.randrange(0, 90)))
+        rows.append((k, own + (passage if k % 3 == 0 else line if k % 3 == 1 else "") + rest + (line * 2 if k % 7 == 0 else "")))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(12)
+    found = repeats.without_repeats(docs, hot=hot).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == cut_by_hand(rows)
