@@ -48,14 +48,47 @@ TEMPLATES = [
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are "
             "permitted provided that the following conditions are met"),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
-            "without fee is hereby granted"),
+            "without fee is hereby granted, provided that the above copyright notice and this permission "
+            "notice appear in all copies"),
+    ("0bsd", "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+             "without fee is hereby granted. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL "
+             "WARRANTIES WITH REGARD TO THIS SOFTWARE"),
+    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of "
+             "the GNU Lesser General Public License as published by the Free Software Foundation; either "
+             "version 2.1 of the License, or (at your option) any later version"),
+    ("agpl", "This program is free software: you can redistribute it and/or modify it under the terms of "
+             "the GNU Affero General Public License as published by the Free Software Foundation, either "
+             "version 3 of the License, or (at your option) any later version"),
+    ("cc-by", "Licensed under CC BY 4.0"),
+    ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International "
+                 "License"),
+    ("cc0", "To the extent possible under law, the author has waived all copyright and related or "
+            "neighboring rights to this work"),
+    ("bsd-3-clause", "Neither the name of the copyright holder nor the names of its contributors may be "
+                     "used to endorse or promote products derived from this software without specific "
+                     "prior written permission"),
+    ("unlicense", "This is free and unencumbered software released into the public domain"),
+    ("epl", "This program and the accompanying materials are made available under the terms of the "
+            "Eclipse Public License v. 2.0"),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event "
+             "will the authors be held liable for any damages arising from the use of this software"),
+    ("boost", "Permission is hereby granted, free of charge, to any person or organization obtaining a "
+              "copy of the software and accompanying documentation covered by this license"),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 ]
 # Phrases that label a file wherever their words stand.
 PHRASES = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
 # Words that name a licence. The rest of a template that has some also stands in notices
 # of other licences.
-NAMING = ["mit", "apache", "gnu", "general public license", "nc", "noncommercial", "mozilla"]
+NAMING = [
+    "mit", "apache", "gnu", "general public license", "nc", "noncommercial", "mozilla", "affero", "lesser",
+    "sa", "sharealike", "eclipse",
+]
+# Labels that take the place of a more general one where their templates cover its words.
+INSTEAD_OF = {
+    "agpl": ["gpl"], "lgpl": ["gpl"], "cc-by-nc": ["cc-by"], "cc-by-sa": ["cc-by"], "isc": ["0bsd"],
+}
 
 #: Shortest match, in words, that a chain takes up, and the share of a template that labels a file.
 LONG = 3
@@ -225,6 +258,20 @@ class Scanner:
                     parts.extend(side for side in sides if side)
 
 
+def _special(spans: list[dict]) -> list[dict]:
+    """The spans in order, without those of a general label that share words with a more special one of
+    at least their coverage."""
+    out = [
+        s for s in spans
+        if not any(
+            s["label"] in INSTEAD_OF.get(o["label"], ()) and o["start"] < s["end"] and s["start"] < o["end"]
+            and o["score"] >= s["score"]
+            for o in spans
+        )
+    ]
+    return sorted(out, key=lambda s: (s["start"], s["end"]))
+
+
 def scan(docs: DataFrame, text: str = "text", templates: list[tuple[str, str]] | None = None) -> DataFrame:
     """Add the columns of ``SCHEMA`` to each row: counts and places of the phrases, labels of the
     phrases and of templates covered to 60 % or more, the highest coverage, and the covered spans."""
@@ -282,7 +329,7 @@ def scan(docs: DataFrame, text: str = "text", templates: list[tuple[str, str]] |
                         spans[t].append(
                             {"label": scanner.labels[which], "start": start, "end": stop + 1, "score": share}
                         )
-                spans[t].sort(key=lambda s: (s["start"], s["end"]))
+                spans[t] = _special(spans[t])
             some = last >= 0
             base_labels = [sorted(own) for own in labels]
             both = [sorted(own | {s["label"] for s in more}) for own, more in zip(labels, spans, strict=True)]
