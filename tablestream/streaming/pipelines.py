@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tablestream.operators.alerts import LIMITS, Limits, explode_alerts
 from tablestream.operators.cooldown import cooldown
+from tablestream.sources.files import remove
 from tablestream.streaming.sinks import to_batches
 
 ALERT_KEYS = ["city_name", "alert_type"]
@@ -69,6 +70,8 @@ def live_alerts(
                 .agg(F.max("last_sent").alias("last_sent"))
             )
         newest.write.mode("overwrite").parquet(f"{path}/last_sent/batch={batch_id}")
+        # The batch before may be repeated; no other is read again.
+        remove(spark, f"{path}/last_sent/batch={batch_id - 2}")
         if publish is not None:
             publish(written, batch_id)
 

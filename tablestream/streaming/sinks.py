@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tablestream.operators.joins import matching
+from tablestream.sources.files import remove
 from tablestream.sources.writers import TEXT_TIMES, write_jdbc
 
 
@@ -83,12 +84,16 @@ def to_batches(
 
 def to_complete_table(df: DataFrame, path: str, checkpoint: str, available: bool = False):
     """Complete mode: the table is the whole result after each batch. A batch counts once its mark
-    is written, so a reader never sees a part of one."""
+    is written, so a reader never sees a part of one. Only the newest result and, for those who
+    are still reading it, the one before are kept."""
 
     def replace(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        mark = batch.sparkSession.range(batch_id, batch_id + 1, numPartitions=1)
+        mark = spark.range(batch_id, batch_id + 1, numPartitions=1)
         mark.toDF("batch").write.mode("overwrite").parquet(f"{path}/_done/batch-{batch_id}")
+        for old in (f"{path}/_done/batch-{batch_id - 2}", f"{path}/batch={batch_id - 2}"):
+            remove(spark, old)
 
     return to_batches(df, replace, checkpoint, "complete", available)
 
