@@ -47,7 +47,7 @@ LONGEST = 5
 LEAST = 100
 #: Bytes of text in a block, and windows of a range, about. Bounds of ranges are known to all tasks:
 #: 15 bytes for each RANGE_ROWS windows.
-BLOCK_BYTES, RANGE_ROWS = 6 << 20, 1_500_000
+BLOCK_BYTES, RANGE_ROWS = 4 << 20, 1_500_000
 #: One window of so many is a sample for the bounds.
 SAMPLE_EVERY = 10_000
 
