@@ -8,6 +8,8 @@ Rows without an id or text pass the filters. An empty table stays empty.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,25 +19,39 @@ from tablestream.llm.common import held_out, n_words, read
 from tablestream.session import run_dir
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that the documents don't have."""
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
+
+
+def _apart(docs: DataFrame, names: Iterable[str]) -> tuple[DataFrame, dict[str, str]]:
+    """The documents with other names for columns that an operator would replace, and the way back."""
+    other = {name: _free(docs, name) for name in names if name in docs.columns}
+    return docs.withColumnsRenamed(other), {new: old for old, new in other.items()}
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5, by a model of the labels that op1 learns from."""
     labels = read(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"), 5, 0))
     model = toxicity.fit(docs, labels)
-    return toxicity.score(docs, model).filter("toxic_score < 0.5").select(*docs.columns)
+    rows, back = _apart(docs, toxicity.NEW)
+    return toxicity.score(rows, model).filter("toxic_score < 0.5").select(*rows.columns).withColumnsRenamed(back)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, of the least document, of each group of near-duplicates; one of rows that are repeated.
 
     Rows count by id and text: another text under the id of a copy stays."""
+    key = _free(docs, "_key")
     text = F.xxhash64("text")
-    found = minhash.near_duplicates(docs.select("doc_id", "text", text.alias("_key")), carry="_key")
-    stays = found.filter("kept").groupBy("group").agg(F.min("_key").alias("_key"))
+    found = minhash.near_duplicates(docs.select("doc_id", "text", text.alias(key)), carry=key)
+    stays = found.filter("kept AND group IS NOT NULL").groupBy(F.col("group").alias("_of")).agg(F.min(key).alias("_stays"))
     # All rows of a group but the one that stays; rows without shingles are in no group.
-    stays = stays.filter("group IS NOT NULL").select(F.col("group").alias("_of"), F.col("_key").alias("_stays"))
-    gone = found.join(stays, F.col("group") == F.col("_of")).filter("NOT kept OR _key != _stays")
-    gone = gone.select("doc_id", "_key").distinct()
-    kept = docs.withColumn("_key", text).join(gone, ["doc_id", "_key"], "left_anti").select(*docs.columns)
+    gone = found.join(stays, F.col("group") == F.col("_of")).filter(~F.col("kept") | (F.col(key) != F.col("_stays")))
+    gone = gone.select("doc_id", key).distinct()
+    kept = docs.withColumn(key, text).join(gone, ["doc_id", key], "left_anti").select(*docs.columns)
     if kept.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").isEmpty():
         return kept
     single = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
@@ -44,24 +60,26 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that also stand in earlier documents."""
-    cut = repeats.without_repeats(docs)
+    rows, back = _apart(docs, repeats.NEW)
+    cut = repeats.without_repeats(rows)
     if "n_chars" in docs.columns:
         shorter = F.col("n_removed") > 0
         kind = docs.schema["n_chars"].dataType
         cut = cut.withColumn("n_chars", F.when(shorter, F.length("text")).otherwise(F.col("n_chars")).cast(kind))
-    return cut.select(*docs.columns)
+    return cut.select(*rows.columns).withColumnsRenamed(back)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     # Numbered once, in a table: both uses below must see the same numbers.
+    row, copy = _free(docs, "_row"), _free(docs, "_copy")
     path = run_dir(spark, "numbered")
-    docs.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+    docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(path)
     rows = spark.read.parquet(path)
-    narrow = rows.select("_row", "doc_id", "source", n_words(F.col("text")).alias("size"))
-    taken = mixing.mix(narrow, F.col("size")).filter("copies > 0").select("_row", "copies")
-    again = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    return rows.join(taken, "_row").withColumn("_copy", again).select(*docs.columns)
+    narrow = rows.select(F.col(row).alias("row"), "doc_id", "source", n_words(F.col("text")).alias("size"))
+    taken = mixing.mix(narrow, F.col("size")).filter("copies > 0").select(F.col("row").alias(row), F.col("copies").alias(copy))
+    again = F.explode(F.sequence(F.lit(1), F.col(copy)))
+    return rows.join(taken, row).withColumn(copy, again).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
