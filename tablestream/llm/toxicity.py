@@ -51,6 +51,7 @@ STEPS = 14
 #: A feature is evidence if at least so many labelled toxic documents have it, if it is so many times
 #: as frequent in them as in others, and if no more than so many of all features pass by chance.
 LEAST_SEEN, TIMES, BY_CHANCE = 4, 8, 20
+NEW = ("toxic_score", "toxic_spans")
 #: Text whose features are counted, and whose words are scored, at once.
 COUNT_BYTES, SCORE_BYTES = 1 << 19, 1 << 20
 #: Marginal from which a word counts in the score of its document.
@@ -84,7 +85,7 @@ class Sentences:
             end = np.where(has, words.start + size, words.end)
             part = hashes(words.start, end) * np.uint64(2 * size + 1)
             self.codes[k] = np.where(has, part, 0)
-        self.features = (self.codes >> np.uint64(64 - BITS)).astype(np.int64)
+        self.features = (self.codes >> np.uint64(64 - BITS)).astype(np.int32)
         self.features[self.codes == 0] = NONE
 
 
@@ -346,7 +347,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Add ``toxic_score`` (0 to 1) and ``toxic_spans``: character ranges of offending words."""
-    names = ["toxic_score", "toxic_spans"]
+    names = list(NEW)
     docs = docs.drop(*names)
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tablestream.llm import mixing, sharding, topk, toxicity
-from tablestream.llm.queries import op2_sharding
+from tablestream.llm import queries  # noqa: F401
 from tablestream.llm.registry import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
@@ -152,9 +152,39 @@ def test_other_queries_have_a_row_for_each_document(spark, name):
     assert found.count() == documents.count()
 
 
-def test_python_runs_only_where_it_may(spark):
-    plan = op2_sharding(spark, DATA)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan
+@pytest.mark.parametrize("name", ["op2_sharding", "op4_quality_rules", "op9_mixing"])
+def test_python_runs_only_where_it_may(spark, name):
+    plan = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_targets_are_those_of_the_dual(spark):
+    """The rates of a source are its tilted documents: capped powers whose sizes add up to the target."""
+    rnd = random.Random(4)
+    rows = [(k, "ab"[k % 3 == 0], rnd.randrange(1, 90)) for k in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    found = mixing.mix(docs, F.col("size")).collect()
+    for source in "ab":
+        mine = [r for r in found if r.source == source]
+        sizes, rates = np.array([r.size for r in mine]), np.array([r.rate for r in mine])
+        assert (rates * sizes).sum() == pytest.approx(mine[0].target, rel=1e-6)
+        free = rates < mixing.LIMIT - 1e-9
+        slope = np.log(rates[free]) / sizes[free]
+        assert slope == pytest.approx(np.full(len(slope), slope[0]), rel=1e-6)
+
+
+def test_stages_take_columns_with_clashing_names(spark):
+    names = ["_row", "_copy", "_key", "copies", "toxic_score", "n_removed", "group", "id", "rep", "bucket", "key"]
+    base = " ".join(f"w{k}" for k in range(40))
+    rows = [(k, base if k < 3 else f"{base[k:]} {k} x" * 3, f"s{k % 2}") for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    clash = docs.select("*", *(F.concat(F.lit(f"{n}-"), "doc_id").alias(n) for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain, odd = stage(spark, docs, DATA), stage(spark, clash, DATA)
+        assert odd.columns == clash.columns
+        kept = odd.collect()
+        assert Counter((r.doc_id, r.text) for r in kept) == Counter(tuple(r)[:2] for r in plain.collect()), name
+        assert all(r[n] == f"{n}-{r.doc_id}" for r in kept for n in names)
 
 
 def test_pipeline_stages(spark):
