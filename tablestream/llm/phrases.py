@@ -48,6 +48,7 @@ LEAST = 100
 #: Bytes of text in a block, and windows of a range, about. Bounds of ranges are known to all tasks:
 #: 15 bytes for each RANGE_ROWS windows.
 BLOCK_BYTES, RANGE_ROWS = 4 << 20, 1_500_000
+HASHED_WORDS = 50_000
 #: One window of so many is a sample for the bounds.
 SAMPLE_EVERY = 10_000
 
@@ -59,6 +60,17 @@ IN_WORD[[0x20, 0x09]] = False
 BLOCK = "lang string, words array<string>, counts array<long>, stream binary, places long"
 
 
+def _word_codes(raw: np.ndarray, words: Words) -> np.ndarray:
+    """A hash of each word, computed for some words at a time, as it takes several numbers a byte."""
+    out = np.empty(len(words), np.uint64)
+    for low in range(0, len(words), HASHED_WORDS):
+        some = slice(low, low + HASHED_WORDS)
+        start, end = words.start[some], words.end[some]
+        base = int(start[0])
+        out[some] = Hashes(raw[base : int(end[-1])])(start - base, end - base)
+    return out
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The words of each slice and language: the distinct ones in order, with their counts, and the
     text as their numbers from 1, with 0 between pieces."""
@@ -69,8 +81,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(raw, offsets, IN_WORD)
         if not len(words):
             continue
-        hashes = Hashes(raw)(words.start, words.end)
-        ends = np.concatenate([[0], np.cumsum(PIECE_END[raw], dtype=np.int64)])[words.start]
+        hashes = _word_codes(raw, words)
+        ends = np.cumsum(PIECE_END[raw], dtype=np.int32)[words.start]
         data = raw.tobytes()
         names, which = np.unique(langs.astype(str), return_inverse=True)
         for k, lang in enumerate(names.tolist()):
