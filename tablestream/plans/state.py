@@ -56,19 +56,18 @@ SELECT a.event_id, a.city_name, a."timestamp", a.alert_type, a.alert_level, a.me
        a.threshold
 FROM alerts a JOIN sent s
   ON a.city_name = s.city_name AND a.alert_type = s.alert_type AND a."timestamp" = s.t
-WHERE a."timestamp" <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE FROM events)
+WHERE a."timestamp" <= (SELECT date_trunc('milliseconds', max("timestamp")) - INTERVAL 10 MINUTE FROM alerts)
 QUALIFY row_number() OVER (PARTITION BY a.city_name, a.alert_type, a."timestamp"
                            ORDER BY a.event_id) = 1
 """)
 def stream_keyed_cooldown(spark: SparkSession, data: str) -> DataFrame:
     """Events come up to nine minutes late, so out of order within and across four batches; between
-    them the query is stopped. The last ten minutes still wait in the state."""
+    them the query is stopped. The last ten minutes of alerts still wait in the state."""
     rows = _timed(spark, data).filter("ts IS NOT NULL")
 
     def start(stream, out, checkpoint):
-        readings = reading_columns(stream.withWatermark("ts", keyed.LATENESS), "timestamp")
-        found = alerts.explode_alerts(readings)
-        sent = keyed.cooled_down(found, ["city_name", "alert_type"], "timestamp", "event_id", lateness=None)
+        found = alerts.explode_alerts(reading_columns(stream, "timestamp"))
+        sent = keyed.cooled_down(found, ["city_name", "alert_type"], "timestamp", "event_id")
         return sinks.to_files(sent, out, checkpoint, available=True)
 
     out = _in_drops(rows, "keyed-cooldown", _by_time(rows, F.col("event_id") % 540), start)

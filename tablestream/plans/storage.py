@@ -133,16 +133,19 @@ def daily_state_profile(spark: SparkSession, data: str) -> DataFrame:
     rows = readings(spark, data).select("city_name", "measurement_time", "temperature")
     daily.refresh(rows, path, ["city_name"], "measurement_time", ["temperature"])
     found = daily.state_profile(daily.read_states(spark, path))
-    value, shares = F.col("temperature"), {f"q{round(100 * q):02d}": q for q in daily.QUANTILES}
-    below = [F.avg((value <= F.col(name)).cast("double")).alias(f"{name}_to") for name in shares]
-    under = [F.avg((value < F.col(name)).cast("double")).alias(f"{name}_from") for name in shares]
-    exact = rows.crossJoin(F.broadcast(found.select(*shares))).agg(F.countDistinct(value).alias("exact"), *below, *under)
+    shares = {f"q{round(100 * q):02d}": q for q in daily.QUANTILES}
+    value, row = F.col("temperature"), found.first()  # one row a field
+    below = [F.avg((value <= row[name]).cast("double")).alias(f"{name}_to") for name in shares]
+    under = [F.avg((value < row[name]).cast("double")).alias(f"{name}_from") for name in shares]
+    exact = rows.agg(F.countDistinct(value).alias("exact"), *below, *under)
     holds = F.lit(True)
     for name, share in shares.items():
         holds = holds & (F.col(f"{name}_from") - 0.03 <= share) & (F.col(f"{name}_to") + 0.03 >= share)
-    near = F.abs(F.col("distinct_values") - F.col("exact")) <= 2 + 0.06 * F.col("exact")
-    return found.crossJoin(exact).select(
-        "field", "total", "null_count", F.round("null_percentage", 6).alias("null_percentage"),
+    near = F.abs(F.lit(row["distinct_values"]) - F.col("exact")) <= 2 + 0.06 * F.col("exact")
+    return exact.select(
+        F.lit(row["field"]).alias("field"), F.lit(row["total"]).cast("long").alias("total"),
+        F.lit(row["null_count"]).cast("long").alias("null_count"),
+        F.round(F.lit(row["null_percentage"]), 6).alias("null_percentage"),
         holds.alias("quantiles_hold"), near.alias("distinct_holds"),
     )
 

@@ -63,7 +63,7 @@ def _silence(period: int):
 
 
 def cooled_down(
-    events: DataFrame, keys: list[str], ts: str, tie: str, seconds: int = 3600, lateness: str | None = LATENESS
+    events: DataFrame, keys: list[str], ts: str, tie: str, seconds: int = 3600, lateness: str = LATENESS
 ) -> DataFrame:
     """The events that are emitted when each one silences its key for ``seconds``, as in the batch
     ``cooldown``: of events with equal key and time the one with the least ``tie`` (a whole number)
@@ -71,13 +71,10 @@ def cooled_down(
 
     Events wait in the state until the watermark reaches them and are then decided in the order of
     their time. A key without waiting events leaves the state ``seconds`` after its last emission.
-    ``lateness`` may be None where ``events`` has a watermark on ``ts`` already. Null keys are keys;
-    events without a time are dropped. One task follows a key within a batch; for keys beyond that,
-    ``live_alerts`` runs the batch cool-down, which splits them.
+    Null keys are keys; events without a time are dropped. One task follows a key within a batch; for
+    keys beyond that, ``live_alerts`` runs the batch cool-down, which splits them.
     """
-    timed = events.filter(F.col(ts).isNotNull())
-    if lateness is not None:
-        timed = timed.withWatermark(ts, lateness)
+    timed = events.filter(F.col(ts).isNotNull()).withWatermark(ts, lateness)
     body = F.to_json(F.struct(*events.columns), {**TEXT_TIMES, "ignoreNullFields": "false"})
     narrow = timed.select(
         *keys, ts, F.unix_micros(ts).alias("us"), F.col(tie).cast("long").alias("tie"), body.alias("body")
