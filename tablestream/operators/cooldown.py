@@ -14,7 +14,8 @@ tasks follow independently across all periods:
 5. per (key, stretch), walk the cells from the one entered;
 6. per (key, slice), emit the events of the entered cells.
 
-A task holds the rows of a slice, the cells of a stretch, or the arrivals of a key's stretches.
+A task holds the rows of a slice, the cells of a stretch, or the arrivals of a key's stretches. Where
+no key has more rows than a slice may hold, each key is one slice and followed in one step.
 """
 
 from __future__ import annotations
@@ -153,6 +154,31 @@ def _borders(times: DataFrame, slices: int) -> list[float]:
     return sorted(set(map(float, found)) - {0.0})
 
 
+def _single(period: int):
+    """The whole chain of a key in one task."""
+
+    def chain(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("_us")
+        times = group["_us"].to_numpy()
+        sent, at = [], 0
+        while at < len(times):
+            sent.append(at)
+            at = int(np.searchsorted(times, times[at] + period, side="left"))
+        return group.iloc[sent][["_key", "_us", "_tie"]]
+
+    return chain
+
+
+def _sent_schema(df: DataFrame, tie: str) -> str:
+    return f"_key string, _us long, _tie {df.schema[tie].dataType.simpleString()}"
+
+
+def _emitted(rows: DataFrame, sent: DataFrame, tie: str, columns: list[str]) -> DataFrame:
+    by = ["_key", "_us", tie]
+    emitted = rows.join(sent.withColumnRenamed("_tie", tie), by, "left_semi")
+    return emitted.dropDuplicates(by).select(*columns)
+
+
 def cooldown(
     df: DataFrame,
     keys: list[str],
@@ -190,6 +216,9 @@ def cooldown(
     )
     if slices is None:
         slices = _slices_for(times, keys, slice_rows)
+        if slices == 1:  # no key is too large for a task
+            sent = times.groupBy(*keys).applyInPandas(_single(period), _sent_schema(df, tie))
+            return _emitted(rows, sent, tie, columns)
     borders = _borders(times, slices)
     slices = len(borders) + 1
     if borders:
@@ -201,7 +230,6 @@ def cooldown(
     sliced = sliced.select(*keys, "_part", "_us", "_tie")
 
     ddl = "_key string"
-    tie_type = df.schema[tie].dataType.simpleString()
     stretch = max(1, stretch_cells // slices) * slices
     leave, cross, arrive, enter, walk, emit = _steps(period, slices, stretch, keys)
     leaving = sliced.groupBy(*keys, "_part").applyInPandas(
@@ -227,8 +255,6 @@ def cooldown(
     sent = (
         sliced.groupBy(*keys, "_part")
         .cogroup(entered.groupBy(*keys, "_part"))
-        .applyInPandas(emit, f"{ddl}, _us long, _tie {tie_type}")
-        .withColumnRenamed("_tie", tie)
+        .applyInPandas(emit, _sent_schema(df, tie))
     )
-    emitted = rows.join(sent, [*keys, "_us", tie], "left_semi")
-    return emitted.dropDuplicates([*keys, "_us", tie]).select(*columns)
+    return _emitted(rows, sent, tie, columns)
