@@ -94,34 +94,43 @@ def running_counts_in_window(
 ) -> DataFrame:
     """Each event (``tie``, ``key``, ``ts``) with the start of its window and how many events of its
     key and window there are up to it: those of earlier batches, and of its own batch those before
-    it by time and ``tie``. A window leaves the state once it is over and ``expires`` has passed.
+    it by time and ``tie``. A window leaves the state of its key once it is over and ``expires`` has
+    passed, and a key without windows leaves altogether.
     """
 
+    period = seconds * 1_000_000
+
     def count(group: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        seen = dict(zip(*state.get, strict=True)) if state.exists else {}
+        rows = None
+        if not state.hasTimedOut:
+            rows = pd.concat(list(chunks)).sort_values(["us", "tie"])
+            window = (rows["us"] - rows["us"] % period).to_numpy()
+            starts, first, of, n = np.unique(window, return_index=True, return_inverse=True, return_counts=True)
+            before = np.array([seen.get(int(w), 0) for w in starts], np.int64)
+            number = before[of] + np.arange(len(rows)) - first[of] + 1  # rows of a window are neighbours
+            seen |= dict(zip(starts.tolist(), (before + n).tolist(), strict=True))
+        reached = state.getCurrentWatermarkMs()
+        open_ = {w: n for w, n in seen.items() if (w + period) // 1000 > reached}
+        if open_:
+            state.update((list(open_), list(open_.values())))
+            state.setTimeoutTimestamp((min(open_) + period) // 1000)
+        elif state.exists:
             state.remove()
-            return
-        seen = state.get[0] if state.exists else 0
-        rows = pd.concat(list(chunks)).sort_values(["us", "tie"])
-        numbers = np.arange(seen + 1, seen + len(rows) + 1)
-        state.update((int(numbers[-1]),))
-        end = int(group[1]) // 1000 + seconds * 1000
-        state.setTimeoutTimestamp(max(end, state.getCurrentWatermarkMs()))
-        yield pd.DataFrame(
-            {"tie": rows["tie"].to_numpy(), "name": rows["name"].to_numpy(), "us": rows["us"].to_numpy(),
-             "window_us": group[1], "n": numbers}
-        )
+        if rows is not None:
+            yield pd.DataFrame(
+                {"tie": rows["tie"].to_numpy(), "name": rows["name"].to_numpy(), "us": rows["us"].to_numpy(),
+                 "window_us": window, "n": number}
+            )
 
-    period = seconds * 1_000_000
     us = F.unix_micros(ts)
     narrow = events.filter(F.col(ts).isNotNull()).withWatermark(ts, expires).select(
-        F.col(key).alias("name"), F.col(key).alias("group"), F.col(tie).alias("tie"), ts, us.alias("us"),
-        (us - F.pmod(us, F.lit(period))).alias("window_us"),
+        F.col(key).alias("name"), F.col(key).alias("group"), F.col(tie).alias("tie"), ts, us.alias("us")
     )
     kinds = {name: events.schema[name].dataType.simpleString() for name in (tie, key)}
-    counted = narrow.groupBy("group", "window_us").applyInPandasWithState(
-        count, f"tie {kinds[tie]}, name {kinds[key]}, us long, window_us long, n long", "n long", "append",
-        GroupStateTimeout.EventTimeTimeout,
+    counted = narrow.groupBy("group").applyInPandasWithState(
+        count, f"tie {kinds[tie]}, name {kinds[key]}, us long, window_us long, n long",
+        "windows array<long>, counts array<long>", "append", GroupStateTimeout.EventTimeTimeout,
     )
     return counted.select(
         F.col("tie").alias(tie), F.col("name").alias(key), F.timestamp_micros("us").alias(ts),
