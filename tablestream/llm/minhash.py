@@ -47,6 +47,8 @@ PERCENT = 75
 ESTIMATE_CUT = 0.55
 #: Documents of a bucket whose signatures are compared at once, and rows that share a task.
 SLICE, TASK_ROWS = 1024, 5_000
+#: Text that a task works on at once.
+TASK_BYTES = 1 << 20
 #: Bits of the map of a set. Larger sets have fuller maps and looser bounds, never wrong ones.
 MAP_BITS = 1 << 13
 
@@ -75,7 +77,7 @@ def _sums(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches, "text"):
+    for part in slices(batches, "text", TASK_BYTES):
         sets, bounds = shingle_sets(part.column("text"))
         sizes = np.diff(bounds)
         full = np.flatnonzero(sizes)
@@ -112,7 +114,7 @@ def _sets(wanted: IdFilter):
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices([batch.filter(wanted.lets(batch.column("doc_id")))], "text"):
+            for part in slices([batch.filter(wanted.lets(batch.column("doc_id")))], "text", TASK_BYTES):
                 sets, bounds = shingle_sets(part.column("text"))
                 sums = _sums(sets, bounds).view(np.int64)
                 found, maps = [], []

@@ -52,8 +52,8 @@ STEPS = 14
 #: as frequent in them as in others, and if no more than so many of all features pass by chance.
 LEAST_SEEN, TIMES, BY_CHANCE = 4, 8, 20
 NEW = ("toxic_score", "toxic_spans")
-#: Text whose features are counted, and whose words are scored, at once.
-COUNT_BYTES, SCORE_BYTES = 1 << 19, 1 << 20
+#: Text that a task works on at once: each word has several features.
+TASK_BYTES = 1 << 19
 #: Marginal from which a word counts in the score of its document.
 SUSPECT = 0.25
 
@@ -183,7 +183,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int) ->
     known = known.groupBy("doc_id").agg(F.max("y").alias("y"))
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", TASK_BYTES):
             words = Sentences(part.column("text"))
             least = per_text(np.minimum, *words.words.shingles(words.whole, 3), 0).astype(np.int64)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(least)], names=["doc_id", "key"])
@@ -208,7 +208,7 @@ def _gradients(sample: DataFrame, task) -> tuple[np.ndarray, np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, chain = np.zeros(NONE + 1), np.zeros(5)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", TASK_BYTES):
             found = task(Sentences(part.column("text")), part.column("y").to_numpy())
             weights += found[0]
             chain += found[1]
@@ -241,8 +241,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     every = {row["y"]: row["count"] for row in pool.groupBy("y").count().collect()}
 
     def documents_with(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Small slices, as each word has several features, and all of a slice are sorted.
-        for part in slices(batches, "text", COUNT_BYTES):
+        for part in slices(batches, "text", TASK_BYTES):
             words = Sentences(part.column("text"))
             owner = np.broadcast_to(words.words.text, words.codes.shape).ravel()
             codes = words.codes.ravel()
@@ -327,7 +326,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
 
     # The layer sees the class shares of the labels, not those of the sample.
     def read_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", TASK_BYTES):
             words = Sentences(part.column("text"))
             x = summary(marginals(words, model), words.words.bounds)
             yield pa.RecordBatch.from_arrays([pa.array(list(x.T)), part.column("y")], names=["x", "y"])
@@ -352,7 +351,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text, SCORE_BYTES):
+        for part in slices(batches, text, TASK_BYTES):
             words = Sentences(part.column(text))
             p = marginals(words, model)
             if model.prior is None:
