@@ -182,16 +182,18 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int) ->
     known = labels.select("doc_id", wanted.alias("y")).filter("doc_id IS NOT NULL AND y IS NOT NULL")
     known = known.groupBy("doc_id").agg(F.max("y").alias("y"))
 
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    lets = IdFilter.of(known.select(F.col("doc_id").cast("long"))).lets
+
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", TASK_BYTES):
-            words = Sentences(part.column("text"))
-            least = per_text(np.minimum, *words.words.shingles(words.whole, 3), 0).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(least)], names=["doc_id", "key"])
+        for batch in batches:
+            for part in slices([batch.filter(lets(batch.column("doc_id")))], "text", TASK_BYTES):
+                words = Sentences(part.column("text"))
+                least = per_text(np.minimum, *words.words.shingles(words.whole, 3), 0).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(least)], names=["doc_id", "key"])
 
     # Only ids and keys are dealt to find the documents; then their texts, once.
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    asked = IdFilter.of(known.select(F.col("doc_id").cast("long")))
-    keyed = asked.passed(docs, "doc_id").mapInArrow(keys, "doc_id long, key long").join(known, "doc_id")
+    keyed = docs.mapInArrow(keys, "doc_id long, key long").join(known, "doc_id")
     single = stored(keyed.groupBy("key", "y").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "y").distinct())
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = [single.filter(F.col("y") == y).orderBy(*order).limit(per_class) for y in (0, 1)]
