@@ -1,5 +1,4 @@
-"""Streams with state of their own per key: silence after an alert, running counts, single delivery
-and late rows.
+"""Streams with keyed state: silence after an alert, running counts, single delivery and late rows.
 
 All go by event time. A row is late if its time is not after the watermark, the newest time seen in
 earlier batches less ``lateness``; late rows reach no state. As long as no row is older than that, the
@@ -17,12 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import IntegralType, NumericType, StringType, StructField, StructType
 
 from tablestream.sources.writers import TEXT_TIMES
 from tablestream.streaming.sinks import to_batches
 
 LATENESS = "10 minutes"
 NO_TIME = np.iinfo(np.int64).min
+# Fixed value: windows of a key that are neighbours in one slot of the running counts.
+STRETCH = 60
 
 
 def _silence(period: int):
@@ -90,51 +92,83 @@ def cooled_down(
 
 
 def running_counts_in_window(
-    events: DataFrame, key: str, ts: str, tie: str, seconds: int = 60, expires: str = "120 seconds"
+    events: DataFrame, key: str, ts: str, tie: str, seconds: int = 60, expires: str = "120 seconds",
+    slots: int = 1024,
 ) -> DataFrame:
     """Each event (``tie``, ``key``, ``ts``) with the start of its window and how many events of its
     key and window there are up to it: those of earlier batches, and of its own batch those before
-    it by time and ``tie``. A window leaves the state of its key once it is over and ``expires`` has
-    passed, and a key without windows leaves altogether.
+    it by time and ``tie``. A window leaves the state once it is over and ``expires`` has passed.
+
+    A call costs far more than a row, so keys share ``slots`` states (and as many for null keys), which
+    are dealt out by key and stretch of ``STRETCH`` windows: calls and state rows don't grow with the
+    number of keys, and a frequent key spreads over its stretches. A task holds one slot of a batch at
+    a time; ``slots`` is fixed for the life of a checkpoint.
     """
 
     period = seconds * 1_000_000
+    kinds = {name: events.schema[name].dataType for name in (tie, key)}
+    own = isinstance(kinds[key], (NumericType, StringType))  # other kinds of keys pass as JSON
 
     def count(group: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seen = dict(zip(*state.get, strict=True)) if state.exists else {}
-        rows = None
+        names, starts, counts = state.get if state.exists else ([], [], [])
+        starts, counts = np.array(starts, np.int64), np.array(counts, np.int64)
+        names, rows = pd.Series(names, dtype=None if len(names) else object), None
         if not state.hasTimedOut:
-            rows = pd.concat(list(chunks)).sort_values(["us", "tie"])
-            window = (rows["us"] - rows["us"] % period).to_numpy()
-            starts, first, of, n = np.unique(window, return_index=True, return_inverse=True, return_counts=True)
-            before = np.array([seen.get(int(w), 0) for w in starts], np.int64)
-            number = before[of] + np.arange(len(rows)) - first[of] + 1  # rows of a window are neighbours
-            seen |= dict(zip(starts.tolist(), (before + n).tolist(), strict=True))
-        reached = state.getCurrentWatermarkMs()
-        open_ = {w: n for w, n in seen.items() if (w + period) // 1000 > reached}
-        if open_:
-            state.update((list(open_), list(open_.values())))
-            state.setTimeoutTimestamp((min(open_) + period) // 1000)
-        elif state.exists:
-            state.remove()
-        if rows is not None:
+            rows = pd.concat(list(chunks)).sort_values(["us", "untied", "tie"])
+            old, us = len(names), rows["us"].to_numpy()
+            names = pd.concat([names.astype(rows["name"].dtype), rows["name"]], ignore_index=True)
+            starts = np.concatenate([starts, us - us % period])
+            # An entry of the state stands for as many rows as it has counted, before all others.
+            weight = np.concatenate([counts, np.ones(len(rows), np.int64)])
+            who = pd.factorize(names)[0]
+            order = np.lexsort((starts, who))  # stable
+            first = np.ones(len(order), bool)
+            first[1:] = (np.diff(who[order]) != 0) | (np.diff(starts[order]) != 0)
+            total = np.cumsum(weight[order])
+            before = (total - weight[order])[first]
+            number = np.empty(len(order), np.int64)
+            number[order] = total - before[np.cumsum(first) - 1]
             yield pd.DataFrame(
-                {"tie": rows["tie"].to_numpy(), "name": rows["name"].to_numpy(), "us": rows["us"].to_numpy(),
-                 "window_us": window, "n": number}
+                {"tie": rows["tie"].to_numpy(), "untied": rows["untied"].to_numpy(), "name": rows["name"].to_numpy(),
+                 "unnamed": group[0] < 0, "us": us, "window_us": starts[old:], "n": number[old:]}
             )
+            last = order[np.append(first[1:], True)]
+            names, starts, counts = names.iloc[last], starts[last], number[last]
+        open_ = (starts + period) // 1000 > state.getCurrentWatermarkMs()
+        if open_.any():
+            state.update((names[open_].tolist(), starts[open_].tolist(), counts[open_].tolist()))
+            state.setTimeoutTimestamp(int(starts[open_].min() + period) // 1000)
+        elif state.exists:
+            state.remove()
 
+    # Whole numbers with nulls among them would reach pandas as floats.
+    whole = isinstance(kinds[tie], IntegralType)
+    filled = F.coalesce(F.col(tie), F.lit(0).cast(kinds[tie])) if whole else F.col(tie)
+    if own:
+        name, kind = F.coalesce(F.col(key), F.lit(0).cast(kinds[key])), kinds[key].simpleString()
+    else:
+        name, kind = F.to_json(F.struct(F.col(key).alias("key")), TEXT_TIMES), "string"
     us = F.unix_micros(ts)
+    stretch = us - F.pmod(us, F.lit(STRETCH * period))
+    slot = F.pmod(F.xxhash64(name, stretch), F.lit(slots)).cast("int")
     narrow = events.filter(F.col(ts).isNotNull()).withWatermark(ts, expires).select(
-        F.col(key).alias("name"), F.col(key).alias("group"), F.col(tie).alias("tie"), ts, us.alias("us")
+        F.when(F.col(key).isNull(), -1 - slot).otherwise(slot).alias("slot"), name.alias("name"),
+        filled.alias("tie"), F.col(tie).isNull().alias("untied"), ts, us.alias("us"),
     )
-    kinds = {name: events.schema[name].dataType.simpleString() for name in (tie, key)}
-    counted = narrow.groupBy("group").applyInPandasWithState(
-        count, f"tie {kinds[tie]}, name {kinds[key]}, us long, window_us long, n long",
-        "windows array<long>, counts array<long>", "append", GroupStateTimeout.EventTimeTimeout,
+    counted = narrow.groupBy("slot").applyInPandasWithState(
+        count,
+        f"tie {kinds[tie].simpleString()}, untied boolean, name {kind}, unnamed boolean, us long, window_us long, n long",
+        f"names array<{kind}>, windows array<long>, counts array<long>",
+        "append",
+        GroupStateTimeout.EventTimeTimeout,
     )
+    found = F.col("name")
+    if not own:
+        found = F.from_json("name", StructType([StructField("key", kinds[key])]), TEXT_TIMES)["key"]
     return counted.select(
-        F.col("tie").alias(tie), F.col("name").alias(key), F.timestamp_micros("us").alias(ts),
-        F.timestamp_micros("window_us").alias("window_start"), F.col("n").alias("events_so_far"),
+        F.when(~F.col("untied"), F.col("tie")).alias(tie), F.when(~F.col("unnamed"), found).alias(key),
+        F.timestamp_micros("us").alias(ts), F.timestamp_micros("window_us").alias("window_start"),
+        F.col("n").alias("events_so_far"),
     )
 
 

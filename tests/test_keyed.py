@@ -101,6 +101,57 @@ def test_counts_continue_and_windows_expire(spark):
     assert sizes == [3, 3, 1, 1]
 
 
+def test_state_of_counts_does_not_grow_with_keys(spark):
+    rows = [(k, f"k{k}", START + dt.timedelta(seconds=k % 50), "") for k in range(1200)]
+    again = [(k + 1200, key, ts + dt.timedelta(seconds=5), "") for k, key, ts, _ in rows]
+    sizes = []
+
+    def run(stream, out, checkpoint):
+        counted = keyed.running_counts_in_window(stream, "key", "ts", "id")
+        query = sinks.to_files(counted, out, checkpoint, available=True)
+        query.awaitTermination()
+        sizes.append(query.lastProgress.stateOperators[0].numRowsTotal)
+        return query
+
+    found = spark.read.parquet(fed(spark, [rows, again], run)).collect()
+    assert {(r.id, r.key, r.events_so_far) for r in found} == {
+        (k, key, 1 + (k >= 1200 and (ts - START).seconds < 60)) for k, key, ts, _ in rows + again
+    }
+    assert max(sizes) <= 1024
+
+
+@pytest.mark.parametrize(("kind", "slots"), [("long", 1), ("string", 7), ("double", 7), ("timestamp", 1)])
+def test_keys_that_share_a_state_are_counted_apart(spark, kind, slots):
+    rnd = random.Random(slots)
+    big = 2**53  # the next whole number is no float
+    rows = [(rnd.choice([None, *range(big, big + 500)]), rnd.choice([None, 0, 1, 2, 3]),
+             START + dt.timedelta(seconds=rnd.randrange(0, 9000), microseconds=rnd.randrange(2))) for _ in range(400)]
+    rows += [(None, 1, START), (big + 1, 1, START), (big, 1, START), (5, None, START), (6, None, START)]
+    rows.sort(key=lambda r: r[2])
+    drops = [rows[:150], rows[150:151], rows[151:]]
+    key = {"long": f"{big} + k", "timestamp": "timestamp_micros(k * 3600000000 + 1)"}.get(kind, f"cast(k as {kind})")
+    root = run_dir(spark, "shared")
+    for drop in drops:
+        made = spark.createDataFrame(drop, "id long, k long, ts timestamp").selectExpr("id", f"{key} AS key", "ts")
+        made.coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(made.schema).parquet(f"{root}/in")
+        counted = keyed.running_counts_in_window(stream, "key", "ts", "id", slots=slots)
+        assert counted.dtypes[:3] == made.dtypes
+        sinks.to_files(counted, f"{root}/out", f"{root}/checkpoint", available=True).awaitTermination()
+    all_keys = spark.createDataFrame([(k,) for k in [None, 0, 1, 2, 3]], "k long").selectExpr("k", f"{key} AS key")
+    named = {r.k: r.key for r in all_keys.collect()}
+    expected, seen = [], {}
+    for drop in drops:
+        for i, k, ts in sorted(drop, key=lambda r: (r[2], r[0] is None, r[0] or 0)):
+            window = ts.replace(second=0, microsecond=0)
+            seen[k, window] = seen.get((k, window), 0) + 1
+            expected.append((i, named[k], ts.replace(tzinfo=None), window.replace(tzinfo=None), seen[k, window]))
+    found = spark.read.parquet(f"{root}/out").selectExpr(
+        "id", "key", "cast(ts as timestamp_ntz)", "cast(window_start as timestamp_ntz)", "events_so_far"
+    )
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+
+
 def test_messages_come_once(spark):
     rows = some_events(5, 200)
     again = [*rows[::2], *rows[::3]]
